@@ -13,7 +13,7 @@ import os
 import time
 
 from gaugewell.checks import inputs, registry
-from gaugewell.functions.readings import as_int, as_real
+from gaugewell.functions.readings import as_real, as_whole, in_range
 from gaugewell.session import local_session
 
 HEADLINES = (
@@ -45,7 +45,7 @@ def column_loop(spark, sf_dir: str) -> None:
     df = inputs.table(spark, sf_dir, "lineitem")
     for name, dtype in df.dtypes:
         cell = F.col(name)
-        whole, real = as_int(cell, dtype), as_real(cell, dtype)
+        whole, real = in_range(as_whole(cell, dtype)), as_real(cell, dtype)
         df.agg(
             F.count(cell),
             F.approx_count_distinct(cell),

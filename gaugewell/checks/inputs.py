@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugewell.plans.reports import RequestColumns
+from gaugewell.sources import tables as sources
 
 # Literals that hit or miss the detectors, by detector.
 LITERALS = (
@@ -56,8 +57,11 @@ REQUEST_COLUMNS = RequestColumns(
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A test table; ``spread`` for work that outweighs one more shuffle of a small one."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return sources.spread(df, path) if spread else df
 
 
 def cycle(values: tuple, number: Column) -> Column:
@@ -66,7 +70,7 @@ def cycle(values: tuple, number: Column) -> Column:
 
 def mixed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a table whose column ``mixed`` holds every kind of cell."""
-    return table(spark, sf_dir, "orders").selectExpr(
+    return table(spark, sf_dir, "orders", spread=True).selectExpr(
         "o_orderkey AS id",
         "concat('Customer ', o_custkey % 97) AS name",
         """CASE o_orderkey % 6 WHEN 0 THEN NULL
@@ -109,7 +113,7 @@ def detector_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Literals, and the text of four tables as it stands: (column_name, value)."""
 
     def column(name: str, source: str, field: str) -> DataFrame:
-        return table(spark, sf_dir, source).select(
+        return table(spark, sf_dir, source, spread=True).select(
             F.lit(name).alias("column_name"), F.col(field).alias("value")
         )
 

@@ -68,7 +68,7 @@ def _ranked(ranking: str) -> Query:
 
 def _ranked_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Rankings over whole texts, shown by digest."""
-    cells = to_cells(I.table(spark, sf, "documents").select("text", "lang", "source"))
+    cells = to_cells(I.table(spark, sf, "documents", spread=True).select("text", "lang", "source"))
     return ranked_values(cells).select(
         cells.name_of(F.col("col_id")).alias("column_name"),
         "ranking",
@@ -80,7 +80,7 @@ def _ranked_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _distinct_exact(spark: SparkSession, sf: str) -> DataFrame:
-    cells = to_cells(I.table(spark, sf, "lineitem"))
+    cells = to_cells(I.table(spark, sf, "lineitem", spread=True))
     return distinct_counts(cells).select(
         cells.name_of(F.col("col_id")).alias("column_name"), "number_distinct_values"
     )
@@ -89,7 +89,7 @@ def _distinct_exact(spark: SparkSession, sf: str) -> DataFrame:
 def _distinct_approx(spark: SparkSession, sf: str) -> DataFrame:
     """The estimate beside the exact count: within three standard errors or not."""
     rsd = 0.05
-    cells = to_cells(I.table(spark, sf, "lineitem"))
+    cells = to_cells(I.table(spark, sf, "lineitem", spread=True))
     estimate = scalar_metrics(cells, (), approx_distinct=True, rsd=rsd).withColumnRenamed(
         "number_distinct_values", "estimate"
     )
@@ -337,7 +337,7 @@ def _semantic_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def _semantic_table(spark: SparkSession, sf: str) -> DataFrame:
     """Every column of a table, numbers included, read as text."""
-    values = semantic.column_values(I.table(spark, sf, "lineitem"))
+    values = semantic.counted_column_values(I.table(spark, sf, "lineitem", spread=True))
     return _flat_types(semantic.semantic_profile(values, _all_detectors(opt_in=True)))
 
 
@@ -413,11 +413,11 @@ def queries() -> dict[str, Query]:
         "gp_text_only_strings": lambda spark, sf: _scalars(I.table(spark, sf, "orders"), ("text",)).where(
             "string_count > 0"
         ),
-        "gp_scalar_all": lambda spark, sf: _scalars(I.table(spark, sf, "lineitem"), SECTIONS),
+        "gp_scalar_all": lambda spark, sf: _scalars(I.table(spark, sf, "lineitem", spread=True), SECTIONS),
         "gp_dotted_column": lambda spark, sf: flat_profile(profile.column_metrics(_dotted(spark, sf))),
         "gp_profile": lambda spark, sf: flat_profile(profile.column_metrics(I.mixed_orders(spark, sf))),
         "gp_profile_lineitem": lambda spark, sf: flat_profile(
-            profile.column_metrics(I.table(spark, sf, "lineitem"))
+            profile.column_metrics(I.table(spark, sf, "lineitem", spread=True))
         ),
         "so_union_profiles": _union_profiles,
         "src_tsv_header": _tsv_header,

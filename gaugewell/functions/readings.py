@@ -1,10 +1,14 @@
 """How a cell reads as an integer, a real number, a date or text.
 
 Every reading is a pure column expression that yields NULL for a cell it does
-not fit, under ANSI mode as well as without it.  A failing ``try_cast`` raises
-and catches an exception per cell (about 17 microseconds, against 0.2 for a
-regular expression), so each cast is guarded by a pattern or a range that only
-lets fitting cells through.
+not fit, under ANSI mode as well as without it.  Two costs shape them:
+
+* A failing ``try_cast`` raises and catches an exception per cell (about 17
+  microseconds, against 0.2 for a regular expression), so each cast is guarded
+  by a pattern or a range that only lets fitting cells through.
+* An expression used twice is computed twice inside a conditional.  The integer
+  reading therefore comes in two steps, :func:`as_whole` and :func:`in_range`,
+  for the caller to project one after the other.
 """
 
 from __future__ import annotations
@@ -14,9 +18,8 @@ from pyspark.sql import functions as F
 
 # Cells are trimmed of blanks and control characters, as Spark's casts do.
 _PAD = r"[\x00-\x20]*"
-_INT_SHAPE = rf"^{_PAD}[+-]?(\d+(\.\d*)?|\.\d*){_PAD}$"
-_INT_PART = rf"^{_PAD}([+-]?\d+)"
-_LEADING_ZEROS = rf"^{_PAD}([+-]?)0+(?=\d)"
+_DIGITS_FIRST = rf"^{_PAD}[+-]?0*\d{{1,19}}(\.\d*)?{_PAD}$"
+_POINT_FIRST = rf"^{_PAD}[+-]?\.\d*{_PAD}$"
 _REAL_SHAPE = (
     rf"^{_PAD}[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]?"
     r"|(?i:nan|inf|infinity)"
@@ -28,57 +31,55 @@ _DATE_PREFIX = r"^\s*(\d{1,2}/\d{1,2}/\d{4})"
 # The date layout cells are read with.
 DATE_LAYOUT = "M/d/yyyy"
 
-_BOUNDS = {
+INT_BOUNDS = {
     "int": (-(2**31), 2**31 - 1),
     "bigint": (-(2**63), 2**63 - 1),
 }
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
-def _in_range(value: Column, int_type: str) -> Column:
-    low, high = _BOUNDS[int_type]
-    return F.when(value.between(F.lit(low), F.lit(high)), value.cast(int_type))
+def _null(dtype: str) -> Column:
+    return F.lit(None).cast(dtype)
 
 
-def _wall_clock_seconds(value: Column) -> Column:
+def _zoneless_seconds(value: Column) -> Column:
     """Seconds since 1970 of a zoneless time, the same in every session time zone."""
-    days = F.date_diff(value.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return days * 86400 + F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
-
-
-def _null(dtype: str) -> Column:
-    return F.lit(None).cast(dtype)
+    since = value - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return since.cast("interval second").cast("decimal(20,6)").cast("double")
 
 
-def as_int(value: Column, dtype: str, int_type: str = "int") -> Column:
-    """Integer reading: fractions are cut off, what does not fit is NULL."""
-    if int_type not in _BOUNDS:
-        raise ValueError(f"int_type must be one of {sorted(_BOUNDS)}")
+def as_whole(value: Column, dtype: str) -> Column:
+    """The cell as a bigint, fractions cut off; NULL where that does not fit."""
     if dtype == "string":
-        digits = F.nullif(F.regexp_extract(value, _INT_PART, 1), F.lit(""))
-        # 18 digits always fit a bigint and 37 a decimal, so neither cast can fail.
-        width, wide = (18, "bigint") if int_type == "int" else (37, "decimal(38,0)")
-        digits = F.when(F.length(digits) <= width, digits).otherwise(
-            F.regexp_replace(digits, _LEADING_ZEROS, "$1")
-        )
-        number = F.when(F.length(digits) <= width, digits).try_cast(wide)
+        digits = F.substring_index(value, ".", 1).try_cast("bigint")
         # '.5' has no digits before the point and reads as 0.
-        number = F.when(digits.isNull(), F.lit(0).cast(wide)).otherwise(number)
-        return F.when(value.rlike(_INT_SHAPE), _in_range(number, int_type))
+        bare = F.contains(value, F.lit(".")) & value.rlike(_POINT_FIRST)
+        return F.when(value.rlike(_DIGITS_FIRST), digits).when(bare, F.lit(0).cast("bigint"))
+    if dtype in _WHOLE:
+        return value.cast("bigint")
     if dtype == "boolean":
-        return value.cast(int_type)
-    if dtype in _WHOLE or dtype.startswith("decimal"):
-        return _in_range(value, int_type)
+        return value.cast("int").cast("bigint")
+    if dtype.startswith("decimal"):
+        low, high = INT_BOUNDS["bigint"]
+        return F.when(value.between(F.lit(low), F.lit(high)), value.cast("bigint"))
     if dtype in ("float", "double"):
-        low, high = _BOUNDS[int_type]
-        real = value.cast("double")
-        above = real > F.lit(float(low) - 1) if int_type == "int" else real >= F.lit(float(low))
-        return F.when(above & (real < F.lit(float(high + 1))), real.cast(int_type))
+        edge = float(2**63)
+        return F.when((value >= F.lit(-edge)) & (value < F.lit(edge)), value.cast("bigint"))
     if dtype == "timestamp":
-        return _in_range(value.cast("bigint"), int_type)
+        return value.cast("bigint")
     if dtype == "timestamp_ntz":
-        return _in_range(_wall_clock_seconds(value), int_type)
-    return _null(int_type)
+        return F.floor(_zoneless_seconds(value)).cast("bigint")
+    return _null("bigint")
+
+
+def in_range(whole: Column, int_type: str = "int") -> Column:
+    """A projected :func:`as_whole` as ``int_type``; NULL beyond its bounds."""
+    if int_type not in INT_BOUNDS:
+        raise ValueError(f"int_type must be one of {sorted(INT_BOUNDS)}")
+    if int_type == "bigint":
+        return whole
+    low, high = INT_BOUNDS[int_type]
+    return F.when(whole.between(F.lit(low), F.lit(high)), whole.cast(int_type))
 
 
 def as_real(value: Column, dtype: str) -> Column:
@@ -90,8 +91,7 @@ def as_real(value: Column, dtype: str) -> Column:
     if dtype == "timestamp":
         return value.cast("double")
     if dtype == "timestamp_ntz":
-        fraction = F.date_part(F.lit("SECOND"), value).cast("double") - F.second(value)
-        return _wall_clock_seconds(value).cast("double") + fraction
+        return _zoneless_seconds(value)
     return _null("double")
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugewell.functions.readings import as_date, as_int, as_real
+from gaugewell.functions.readings import as_date, as_real, as_whole, in_range
 from gaugewell.operators.cells import Cells
 
 SECTIONS = ("fill", "integer", "real", "date", "text")
@@ -52,7 +52,7 @@ def scalar_metrics(
             F.count_if(~F.col("present")).cast("bigint").alias("number_empty_cells"),
         ]
     if "integer" in sections:
-        read.append(cells.read(lambda c, t: as_int(c, t, int_type)).alias("as_int"))
+        read.append(cells.read(as_whole).alias("whole"))
         wanted += _numeric("as_int", "integer")
     if "real" in sections:
         read.append(cells.read(as_real).alias("as_real"))
@@ -75,4 +75,7 @@ def scalar_metrics(
         read += [F.col(k) for k in cells.keys]
         estimate = sum((F.approx_count_distinct(k, rsd) for k in cells.keys), F.lit(0).cast("bigint"))
         wanted.append(estimate.alias("number_distinct_values"))
-    return cells.frame.select(*read).groupBy("col_id").agg(*wanted)
+    rows = cells.frame.select(*read)
+    if "integer" in sections:
+        rows = rows.withColumn("as_int", in_range(F.col("whole"), int_type))
+    return rows.groupBy("col_id").agg(*wanted)

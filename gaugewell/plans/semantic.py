@@ -23,6 +23,9 @@ NON_EMPTY = "number_of_non_empty_cells"
 MAX_GATES = 100_000
 
 
+WEIGHT = "n"
+
+
 def column_values(df: DataFrame) -> DataFrame:
     """A table as (column_name, value), values as text."""
     cells = to_cells(df)
@@ -31,22 +34,44 @@ def column_values(df: DataFrame) -> DataFrame:
     )
 
 
+def counted_column_values(df: DataFrame) -> DataFrame:
+    """A table as (column_name, value, n), each value of a column once.
+
+    Cells are counted in their native types first, so detectors and printing run
+    once per distinct value.  Worth its shuffle for tables, whose columns repeat
+    values; for columns of unique long texts use :func:`column_values`.
+    """
+    cells = to_cells(df)
+    counted = cells.frame.groupBy("col_id", *cells.keys).agg(F.count(F.lit(1)).alias(WEIGHT))
+    return counted.select(
+        cells.name_of(F.col("col_id")).alias("column_name"), cells.text().alias("value"), WEIGHT
+    )
+
+
 def _counts(
     values: DataFrame, found: Iterable[Detector], column: str, gates: dict[str, list[str]] | None = None
 ) -> DataFrame:
     """One row per column: non-empty cells and the hits of each detector.
 
-    With ``gates``, a detector runs only on the columns listed for it.
+    A row counts once, or as often as its weight says.  With ``gates``, a
+    detector runs only on the columns listed for it.
     """
-    lowered = values.select(column, "value", F.lower("value").alias("lowered"))
+    weighted = WEIGHT in values.columns
+    lowered = values.select("*", F.lower("value").alias("lowered"))
+
+    def total(test: Column) -> Column:
+        if weighted:
+            return F.coalesce(F.sum(F.when(test, F.col(WEIGHT))), F.lit(0).cast("bigint"))
+        return F.count_if(test).cast("bigint")
+
     hits = []
     for d in found:
         test = d.hits(F.col("value"), F.col("lowered"))
         if gates is not None:
             listed = gates.get(d.name)
             test = (F.col(column).isin(listed) & test) if listed else F.lit(False)
-        hits.append(F.count_if(test).cast("bigint").alias(d.name))
-    return lowered.groupBy(column).agg(F.count("value").alias(NON_EMPTY), *hits)
+        hits.append(total(test).alias(d.name))
+    return lowered.groupBy(column).agg(total(F.col("value").isNotNull()).alias(NON_EMPTY), *hits)
 
 
 def detector_counts(
@@ -69,7 +94,12 @@ def candidates(
     column: str = "column_name",
     key: Column | None = None,
 ) -> DataFrame:
-    """Labels with a hit in the pilot sample: rows (column, label, count)."""
+    """Labels with a hit in the pilot sample: rows (column, label, count).
+
+    The sample is of rows, so ``values`` must not be counted beforehand.
+    """
+    if WEIGHT in values.columns:
+        raise ValueError("sample the rows of a column, not its counted values")
     found = detectors() if found is None else found
     pilot = _counts(pilot_sample(values, column, key), found, column)
     return long_counts(pilot, found, column).where("count > 0")

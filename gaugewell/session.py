@@ -38,3 +38,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="gaugewell-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def byte_size(text: str) -> int:
+    """Bytes of a size setting such as ``134217728b``, ``128m`` or ``1gb``."""
+    number = text.strip().lower().removesuffix("b")
+    scale = {"k": 10, "m": 20, "g": 30, "t": 40}.get(number[-1:])
+    return int(number) if scale is None else int(number[:-1]) << scale

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugewell.session import scratch_path
+from gaugewell.session import byte_size, scratch_path
+from gaugewell.sources.listing import list_files
 
 # Fixed value: field separator of every text source.
 TAB = "\t"
@@ -19,18 +20,31 @@ CATALOGUE_SCHEMA = T.StructType(
 VALUE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
+def spread(df: DataFrame, path: str | list[str]) -> DataFrame:
+    """Redistribute the rows of a source that has fewer splits than there are cores.
+
+    A small table, one row group or one gzip file is read by one or a few tasks,
+    and all that follows stays in them.  Where the files' size says so, the rows
+    go round to all cores once; a source with splits enough is left alone.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = list_files(spark, path, recursive=True).agg(F.sum("length")).first()[0] or 0
+    per_split = byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return df.repartition(cores) if size < cores * per_split else df
+
+
 def read_table(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, spread: int | None = None
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None
 ) -> DataFrame:
     """A table with a header row; types are inferred unless a schema is given.
 
-    A gzip file is read by one task.  ``spread`` redistributes the rows after
-    the read; for more than one pass use :func:`staged` instead.
+    A gzip file is read by one task: see :func:`spread` for one pass over it and
+    :func:`staged` for several.
     """
     reader = spark.read.option("sep", TAB).option("header", True)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    df = reader.csv(path)
-    return df.repartition(spread) if spread else df
+    return reader.csv(path)
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
