@@ -44,15 +44,23 @@ def _metrics(cells: Cells, distinct: str, int_type: str, k: int, rsd: float) ->
     if distinct not in ("exact", "approx"):
         raise ValueError("distinct must be 'exact' or 'approx'")
     merged = scalar_metrics(cells, int_type=int_type, approx_distinct=distinct == "approx", rsd=rsd)
+    none = F.lit(0).cast("bigint")
     if distinct == "exact":
-        merged = merged.join(distinct_counts(cells).drop("counted_cells"), "col_id", "left")
+        # The non-empty cells are taken from here as well: that keeps the count of
+        # each value in this stream, so that it shares the shuffle of the rankings.
+        merged = (
+            merged.drop("number_non_empty_cells")
+            .join(distinct_counts(cells), "col_id", "left")
+            .withColumn("number_non_empty_cells", F.coalesce("counted_cells", none))
+            .withColumn("number_distinct_values", F.coalesce("number_distinct_values", none))
+            .drop("counted_cells")
+        )
     merged = merged.join(ranked_lists(cells, RANKINGS, k), "col_id", "left")
     is_text = F.element_at(F.array(*[F.lit(t == "string") for t in cells.dtypes]), F.col("col_id") + 1)
     return merged.withColumns(
         {
             "column_name": cells.name_of(F.col("col_id")),
             "is_text": is_text,
-            "number_distinct_values": F.coalesce("number_distinct_values", F.lit(0).cast("bigint")),
         }
     )
 

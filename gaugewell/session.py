@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,11 @@ def local_session(cpus: str | int = "*", partitions: int = 8, app: str = "gaugew
     return spark
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="gaugewell-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
@@ -35,8 +41,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="gaugewell-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
