@@ -20,10 +20,10 @@ FREQUENT, SHORTEST, LONGEST = "frequent", "shortest", "longest"
 RANKINGS = (FREQUENT, SHORTEST, LONGEST)
 
 
-def counted_values(cells: Cells) -> DataFrame:
+def counted_values(cells: Cells, frame: DataFrame | None = None) -> DataFrame:
     """Distinct non-NULL values of every column with their count ``n``."""
     return (
-        cells.frame.where(cells.present())
+        (cells.frame if frame is None else frame).where(cells.present())
         .groupBy("col_id", *cells.keys)
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -45,17 +45,60 @@ def distinct_counts(cells: Cells) -> DataFrame:
     )
 
 
+def length_bounds(cells: Cells, k: int = TOP) -> DataFrame:
+    """Lengths no value among the k shortest or k longest of a text column can miss.
+
+    Values are dealt into buckets by hash and each bucket keeps its extreme
+    lengths.  Buckets hold different values, so at least k distinct values are as
+    long as the k-th longest bucket maximum, and as short as the k-th shortest
+    minimum.  One row per column; columns with fewer than k buckets filled have
+    no bounds.
+    """
+    text = cells.string_lane()
+    buckets = (
+        cells.frame.where(text.isNotNull())
+        .select("col_id", F.pmod(F.xxhash64(text), F.lit(16 * k)).alias("bucket"), F.length(text).alias("length"))
+        .groupBy("col_id", "bucket")
+        .agg(F.max("length").alias("longest"), F.min("length").alias("shortest"))
+    )
+    # At most 16 k bucket rows per column are gathered here.
+    return buckets.groupBy("col_id").agg(
+        F.get(F.sort_array(F.collect_list("longest"), asc=False), F.lit(k - 1)).alias("long_from"),
+        F.get(F.sort_array(F.collect_list("shortest")), F.lit(k - 1)).alias("short_to"),
+    )
+
+
+def _extreme_lengths(cells: Cells, rankings: tuple[str, ...], k: int) -> DataFrame:
+    """Cells of text columns that may be among the shortest or longest.
+
+    The bounds have one row per column of the table, so they are broadcast.
+    """
+    length = F.length(cells.string_lane())
+    tests = {
+        SHORTEST: length <= F.coalesce("short_to", length),
+        LONGEST: length >= F.coalesce("long_from", length),
+    }
+    wanted = [tests[r] for r in rankings]
+    keep = wanted[0] | wanted[1] if len(wanted) == 2 else wanted[0]
+    bounded = cells.frame.where(cells.string_lane().isNotNull()).join(
+        F.broadcast(length_bounds(cells, k)), "col_id"
+    )
+    return bounded.where(keep).select("col_id", *cells.keys)
+
+
 def ranked_values(cells: Cells, rankings: tuple[str, ...] = RANKINGS, k: int = TOP) -> DataFrame:
     """Rows (col_id, ranking, rank, value, n), ``rank`` from 1 to ``k``.
 
     Frequent: count descending, then value.  Shortest and longest: text columns
-    only, distinct values by length, then value.
+    only, distinct values by length, then value.  Where lengths alone are asked
+    for, a first scan bounds them, and values in between are never shuffled.
     """
     unknown = set(rankings) - set(RANKINGS)
     if unknown or not rankings:
         raise ValueError(f"rankings must be among {RANKINGS}")
     text_column = cells.string_lane().isNotNull()
-    values = counted_values(cells).select(
+    frame = None if FREQUENT in rankings else _extreme_lengths(cells, rankings, k)
+    values = counted_values(cells, frame).select(
         "col_id", "n", cells.text().alias("value"), text_column.alias("is_text")
     )
     length = F.length("value").cast("bigint")
@@ -64,8 +107,6 @@ def ranked_values(cells: Cells, rankings: tuple[str, ...] = RANKINGS, k: int = T
         SHORTEST: F.when(F.col("is_text"), F.struct(F.lit(SHORTEST).alias("ranking"), length.alias("sort_key"))),
         LONGEST: F.when(F.col("is_text"), F.struct(F.lit(LONGEST).alias("ranking"), (-length).alias("sort_key"))),
     }
-    if FREQUENT not in rankings:
-        values = values.where("is_text")
     # One stream for all rankings: the counted values are computed and sorted once.
     entries = values.select(
         "col_id", "value", "n", F.inline(F.array_compact(F.array(*[order[r] for r in rankings])))

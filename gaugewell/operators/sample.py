@@ -19,6 +19,10 @@ LONG_BUCKETS = 1
 SHORT_BUCKETS = 9
 SAMPLE_ROWS = 100
 
+# Short columns the driver may name to the scan; beyond that both rates are put
+# in order and a join decides.
+MAX_SHORT_COLUMNS = 10_000
+
 _SALTS = 64
 
 
@@ -31,28 +35,39 @@ def pilot_sample(values: DataFrame, column: str = "column_name", key: Column | N
     """At most 100 rows (column, value) per column.
 
     ``key`` identifies a row; without one the value stands for itself, and all
-    copies of a value are in or out together.  Bucket 0 sorts first, so the head
-    of the 90 % sample is the head of the 10 % sample, and one ranking serves
-    both rates.  The rows of a column are cut within tasks, then among 64
-    salted groups, then once more, so a column that fills a third of the data
-    never meets in one task.
+    copies of a value are in or out together.  The rows of every column are
+    counted first, so that of long columns only the tenth to be sampled is put
+    in order.  Those rows are cut within tasks, then among 64 salted groups,
+    then once more: a column that fills a third of the data never meets in one
+    task.
     """
+    rows = values.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+    short = rows.where(F.col("rows") <= LONG_COLUMN).select(column).limit(MAX_SHORT_COLUMNS + 1).collect()
+    listed = len(short) <= MAX_SHORT_COLUMNS
+
     digest = F.md5(F.coalesce((F.col("value") if key is None else key).cast("string"), F.lit("")))
-    hashed = (
-        values.select(column, "value", digest.alias("digest"))
-        .withColumn("bucket", digest_bucket(F.col("digest")))
-        .where(F.col("bucket") < SHORT_BUCKETS)
-        .withColumn("salt", F.spark_partition_id() % _SALTS)
+    sampled = values.select(column, "value", digest.alias("digest")).withColumn(
+        "bucket", digest_bucket(F.col("digest"))
     )
+    if listed:
+        is_short = F.col(column).isin([r[0] for r in short]) if short else F.lit(False)
+        sampled = sampled.where(
+            (F.col("bucket") < LONG_BUCKETS) | (is_short & (F.col("bucket") < SHORT_BUCKETS))
+        )
+    else:
+        sampled = sampled.where(F.col("bucket") < SHORT_BUCKETS)
+    # Bucket 0 sorts first: the head of the 90 % sample is that of the 10 % sample.
     order = ["bucket", "digest", "value"]
     local = W.partitionBy(column, "salt").orderBy(*order)
     overall = W.partitionBy(column).orderBy(*order)
     head = (
-        hashed.withColumn("place", F.row_number().over(local))
+        sampled.withColumn("salt", F.spark_partition_id() % _SALTS)
+        .withColumn("place", F.row_number().over(local))
         .where(F.col("place") <= SAMPLE_ROWS)
         .withColumn("place", F.row_number().over(overall))
         .where(F.col("place") <= SAMPLE_ROWS)
     )
-    rows = values.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    keep = (F.col("rows") <= LONG_COLUMN) | (F.col("bucket") < LONG_BUCKETS)
-    return head.join(rows, column).where(keep).select(column, "value")
+    if not listed:
+        keep = (F.col("rows") <= LONG_COLUMN) | (F.col("bucket") < LONG_BUCKETS)
+        head = head.join(rows, column).where(keep)
+    return head.select(column, "value")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugewell.checks import inputs as I
 from gaugewell.operators.cells import to_cells
-from gaugewell.operators.ranks import distinct_counts, ranked_lists
+from gaugewell.operators.ranks import distinct_counts, ranked_lists, ranked_values
 from gaugewell.operators.scalars import scalar_metrics
 from gaugewell.plans import profile
 
@@ -172,3 +172,17 @@ def test_distinct_counts_and_weights(spark):
     df = spark.createDataFrame([(v,) for v in skewed_texts(5000)], "t string")
     row = distinct_counts(to_cells(df)).first()
     assert row.counted_cells == df.where("t IS NOT NULL").count()
+
+
+@pytest.mark.parametrize("rankings", [("shortest",), ("longest",), ("longest", "shortest")])
+def test_bounded_lengths_rank_alike(spark, sf, rankings):
+    texts = skewed_texts(20_000)
+    frames = [
+        spark.createDataFrame([(v, v and v[:2], "same", "") for v in texts], "a string, b string, c string, d string"),
+        spark.createDataFrame([("x",), ("y",), (None,), ("x",)], "a string"),
+        I.table(spark, sf, "documents").select("text", "lang", "n_chars"),
+    ]
+    for df in frames:
+        cells = to_cells(df)
+        every = ranked_values(cells).where(F.col("ranking").isin(*rankings))
+        assert sorted(ranked_values(cells, rankings).collect()) == sorted(every.collect())

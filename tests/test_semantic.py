@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugewell.functions.detectors import detectors
+from gaugewell.operators import sample
 from gaugewell.operators.sample import pilot_sample
 from gaugewell.plans import semantic
 
@@ -44,6 +45,13 @@ def test_sample_on_any_layout(spark, parts):
     assert got == brute_sample(rows)
 
 
+def test_sample_without_a_list_of_short_columns(spark, monkeypatch):
+    rows = cells()
+    monkeypatch.setattr(sample, "MAX_SHORT_COLUMNS", 1)
+    got = sorted(((r.column_name, r.value) for r in pilot_sample(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr)
+    assert got == brute_sample(rows)
+
+
 def test_sample_by_row_key(spark):
     df = spark.range(5000).select(F.lit("c").alias("column_name"), F.lit("same").alias("value"), "id")
     assert pilot_sample(df, key=F.col("id")).count() == 100
