@@ -1,33 +1,34 @@
 """Detectors: does a cell look like a zip code, a street, a colour ...?
 
-A detector is a name and a boolean column expression over the cell as written
-and the cell in lower case.  Word searches are ``contains`` on bytes (about 2.5
-times as fast as the alternation they stand for), lists are hash lookups, and
-each regular expression sits behind a cheap test that any match must pass.
-NULL is never a hit.
+A detector is a name and a condition in SQL over the cell as written and the
+cell in lower case.  Word searches are ``contains`` on bytes (about 2.5 times as
+fast as the alternation they stand for), lists are hash lookups, and each
+regular expression sits behind a cheap test that any match must pass.  NULL is
+never a hit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gaugewell.functions import vocab
 
-Predicate = Callable[[Column, Column], Column]  # (cell, lower-cased cell) -> boolean
+# (cell, lower-cased cell), as SQL -> boolean SQL, or a Column
+Condition = Callable[[str, str], "str | Column"]
 
 
 @dataclass(frozen=True)
 class Detector:
     name: str
-    predicate: Predicate
+    condition: Condition
 
-    def hits(self, value: Column, lowered: Column | None = None) -> Column:
-        return self.predicate(value, F.lower(value) if lowered is None else lowered)
+    def hits(self, cell: str = "value", lowered: str | None = None) -> Column:
+        test = self.condition(cell, lowered or f"lower({cell})")
+        return F.expr(test) if isinstance(test, str) else test
 
 
 # Patterns of the detectors.
@@ -53,21 +54,35 @@ MIDDLE_INITIAL = r"^[A-Z][.]?$"
 ADDRESS = r"\d+ [a-z0-9.-][a-z0-9. -]*(?:ave|dr|rd|blvd|ln|st|av)"
 
 
-def _words(words: Iterable[str]) -> Predicate:
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _matches(cell: str, pattern: str) -> str:
+    return f"rlike({cell}, {_quoted(pattern)})"
+
+
+def _words(words: Iterable[str]) -> Condition:
     # A word that contains another of the list adds nothing to the search.
     words = list(words)
     least = [w for w in words if not any(o != w and o in w for o in words)]
-    return lambda value, low: reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in least])
+    return lambda cell, low: "(" + " OR ".join(f"contains({low}, {_quoted(w)})" for w in least) + ")"
 
 
-def _listed(names: Iterable[str], lower: bool) -> Predicate:
-    names = list(names)
-    return lambda value, low: (low if lower else value).isin(names)
+def _listed(names: Iterable[str], lower: bool) -> Condition:
+    listed = ", ".join(_quoted(n) for n in names)
+    if not listed:
+        return lambda cell, low: "false"
+    return lambda cell, low: f"{low if lower else cell} IN ({listed})"
 
 
-def _no_longer(cell: Column, n: int) -> Column:
+def _no_longer(cell: str, n: int) -> str:
     """Length test before an anchored pattern; ``$`` may precede a line end."""
-    return F.length(cell) <= n + 2
+    return f"length({cell}) <= {n + 2}"
+
+
+def _address(cell: str, low: str) -> str:
+    return _matches(f"replace({low}, '  ', '\\n')", ADDRESS)
 
 
 def detectors(
@@ -84,20 +99,17 @@ def detectors(
     areas, places = vocab.AREAS_OF_STUDY, vocab.LOCATION_TYPES
     if fix_vocab:
         areas, places = areas + vocab.FIXED_AREAS_OF_STUDY, places + vocab.FIXED_LOCATION_TYPES
+    longest_borough = len("staten island")
     found = [
-        Detector("zip_code", lambda v, low: low.startswith("1") & low.rlike(ZIP_CODE)),
-        Detector("phone_number", lambda v, low: low.rlike(PHONE_NUMBER)),
+        Detector("zip_code", lambda c, low: f"startswith({low}, '1') AND {_matches(low, ZIP_CODE)}"),
+        Detector("phone_number", lambda c, low: _matches(low, PHONE_NUMBER)),
         Detector("school_name", _words(vocab.SCHOOL_NAME_WORDS)),
         Detector("street_name", _words(vocab.STREET_NAME_WORDS)),
-        Detector("lat_lon_cord", lambda v, low: low.startswith("(40.") & low.rlike(LAT_LON_CORD)),
+        Detector("lat_lon_cord", lambda c, low: f"startswith({low}, '(40.') AND {_matches(low, LAT_LON_CORD)}"),
         Detector("college_name", _words(vocab.COLLEGE_NAME_WORDS)),
-        Detector("borough", lambda v, low: _no_longer(low, len("staten island")) & low.rlike(BOROUGH)),
+        Detector("borough", lambda c, low: f"{_no_longer(low, longest_borough)} AND {_matches(low, BOROUGH)}"),
         Detector("park_playground", _words(vocab.PARK_WORDS)),
-        Detector(
-            "website",
-            lambda v, low: (F.contains(low, F.lit("www.")) | F.contains(low, F.lit("://")))
-            & low.rlike(WEBSITE),
-        ),
+        Detector("website", lambda c, low: f"{_words(('www.', '://'))(c, low)} AND {_matches(low, WEBSITE)}"),
         Detector("business_name", _words(vocab.BUSINESS_NAME_WORDS)),
         Detector("subject_in_school", _listed(vocab.SUBJECTS, lower=True)),
     ]
@@ -109,19 +121,19 @@ def detectors(
         Detector("school_level", _words(vocab.SCHOOL_LEVEL_WORDS)),
         Detector(
             "building_classification",
-            lambda v, low: (F.substring(v, 3, 1) == "-") & v.rlike(BUILDING_CLASSIFICATION),
+            lambda c, low: f"substring({c}, 3, 1) = '-' AND {_matches(c, BUILDING_CLASSIFICATION)}",
         ),
         Detector("area_of_study", _listed(areas, lower=True)),
-        Detector("MiddleInitial", lambda v, low: _no_longer(v, 2) & v.rlike(MIDDLE_INITIAL)),
+        Detector("MiddleInitial", lambda c, low: f"{_no_longer(c, 2)} AND {_matches(c, MIDDLE_INITIAL)}"),
         Detector("car_make", _listed(vocab.CAR_MAKES, lower=False)),
         Detector("location_type", _listed(places, lower=False)),
         Detector("color", _listed(vocab.COLORS, lower=False)),
     ]
     if opt_in:
         found += [
-            Detector("Latitude", lambda v, low: low.startswith("40.") & low.rlike(LATITUDE)),
-            Detector("Longitude", lambda v, low: low.startswith("-7") & low.rlike(LONGITUDE)),
-            Detector("address", lambda v, low: F.replace(low, F.lit("  "), F.lit("\n")).rlike(ADDRESS)),
+            Detector("Latitude", lambda c, low: f"startswith({low}, '40.') AND {_matches(low, LATITUDE)}"),
+            Detector("Longitude", lambda c, low: f"startswith({low}, '-7') AND {_matches(low, LONGITUDE)}"),
+            Detector("address", _address),
         ]
     return found
 

@@ -66,7 +66,7 @@ def _counts(
 
     hits = []
     for d in found:
-        test = d.hits(F.col("value"), F.col("lowered"))
+        test = d.hits("value", "lowered")
         if gates is not None:
             listed = gates.get(d.name)
             test = (F.col(column).isin(listed) & test) if listed else F.lit(False)

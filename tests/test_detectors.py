@@ -41,7 +41,7 @@ EVERY = D.detectors(neighbourhoods=NEIGHBOURHOODS, opt_in=True)
 
 def hits(spark, cells, found):
     df = spark.createDataFrame([(c,) for c in cells], "value string")
-    return df.select("value", *[d.hits(F.col("value")).alias(d.name) for d in found]).collect()
+    return df.select("value", *[d.hits().alias(d.name) for d in found]).collect()
 
 
 def test_truth_table(spark):
@@ -116,6 +116,16 @@ def test_fixed_vocabulary_only_adds(spark):
     assert [r["location_type"] for r in rows] == [False, False, True, True, True]
 
 
+def test_own_detectors(spark):
+    own = [
+        D.Detector("sql", lambda cell, low: f"{low} = 'it''s'"),
+        D.Detector("column", lambda cell, low: F.length(cell) > 3),
+    ]
+    assert [tuple(r) for r in hits(spark, ["It's", "a"], own)] == [("It's", True, True), ("a", False, False)]
+    odd = D.Detector("listed", D._listed(["a\\b", "it's", '"q"'], lower=False))
+    assert [r["listed"] for r in hits(spark, ["a\\b", "it's", '"q"', "ab"], [odd])] == [True, True, True, False]
+
+
 def test_address_in_a_long_text(spark):
     text = "pile " * 200_000 + "12 " + "pile " * 200_000
     found = [d for d in EVERY if d.name == "address"]
