@@ -96,20 +96,15 @@ def ranked_values(cells: Cells, rankings: tuple[str, ...] = RANKINGS, k: int = T
     unknown = set(rankings) - set(RANKINGS)
     if unknown or not rankings:
         raise ValueError(f"rankings must be among {RANKINGS}")
-    text_column = cells.string_lane().isNotNull()
     frame = None if FREQUENT in rankings else _extreme_lengths(cells, rankings, k)
+    length = F.length(cells.string_lane()).cast("bigint")
+    sort_keys = {FREQUENT: -F.col("n"), SHORTEST: length, LONGEST: -length}
     values = counted_values(cells, frame).select(
-        "col_id", "n", cells.text().alias("value"), text_column.alias("is_text")
+        "col_id", cells.text().alias("value"), "n", *[sort_keys[r].alias(r) for r in rankings]
     )
-    length = F.length("value").cast("bigint")
-    order = {
-        FREQUENT: F.struct(F.lit(FREQUENT).alias("ranking"), (-F.col("n")).alias("sort_key")),
-        SHORTEST: F.when(F.col("is_text"), F.struct(F.lit(SHORTEST).alias("ranking"), length.alias("sort_key"))),
-        LONGEST: F.when(F.col("is_text"), F.struct(F.lit(LONGEST).alias("ranking"), (-length).alias("sort_key"))),
-    }
     # One stream for all rankings: the counted values are computed and sorted once.
-    entries = values.select(
-        "col_id", "value", "n", F.inline(F.array_compact(F.array(*[order[r] for r in rankings])))
+    entries = values.unpivot(["col_id", "value", "n"], list(rankings), "ranking", "sort_key").where(
+        "sort_key IS NOT NULL"
     )
     best = W.partitionBy("col_id", "ranking").orderBy("sort_key", "value")
     return (

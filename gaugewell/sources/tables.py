@@ -25,13 +25,17 @@ def spread(df: DataFrame, path: str | list[str]) -> DataFrame:
 
     A small table, one row group or one gzip file is read by one or a few tasks,
     and all that follows stays in them.  Where the files' size says so, the rows
-    go round to all cores once; a source with splits enough is left alone.
+    are dealt to all cores once; a source with splits enough is left alone.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     size = list_files(spark, path, recursive=True).agg(F.sum("length")).first()[0] or 0
-    per_split = byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return df.repartition(cores) if size < cores * per_split else df
+    if size >= cores * byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes")):
+        return df
+    # By row number, not round robin: that sorts every row first, so as to be
+    # repeatable when a task is run again; a number is repeatable as it is.
+    row = "_row_number_"
+    return df.withColumn(row, F.monotonically_increasing_id()).repartition(cores, row).drop(row)
 
 
 def read_table(
