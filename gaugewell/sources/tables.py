@@ -20,22 +20,30 @@ CATALOGUE_SCHEMA = T.StructType(
 VALUE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
+# Least file bytes worth a task of their own when a source is spread.
+SPREAD_BYTES = 256 << 10
+
+
 def spread(df: DataFrame, path: str | list[str]) -> DataFrame:
     """Redistribute the rows of a source that has fewer splits than there are cores.
 
     A small table, one row group or one gzip file is read by one or a few tasks,
     and all that follows stays in them.  Where the files' size says so, the rows
-    are dealt to all cores once; a source with splits enough is left alone.
+    are dealt once to as many tasks as there are cores, or file bytes for; a
+    source with splits enough is left alone.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     size = list_files(spark, path, recursive=True).agg(F.sum("length")).first()[0] or 0
     if size >= cores * byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes")):
         return df
+    parts = min(cores, -(-size // SPREAD_BYTES))
+    if parts <= 1:
+        return df
     # By row number, not round robin: that sorts every row first, so as to be
     # repeatable when a task is run again; a number is repeatable as it is.
     row = "_row_number_"
-    return df.withColumn(row, F.monotonically_increasing_id()).repartition(cores, row).drop(row)
+    return df.withColumn(row, F.monotonically_increasing_id()).repartition(parts, row).drop(row)
 
 
 def read_table(

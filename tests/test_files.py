@@ -29,14 +29,17 @@ def requests_file(tmp_path):
     return str(path)
 
 
-def test_table_with_header(spark, requests_file):
+def test_table_with_header(spark, requests_file, monkeypatch):
     df = tables.read_table(spark, requests_file)
     assert dict(df.dtypes)["Unique Key"] == "int" and df.count() == 5
     assert df.where("`Closed Date` IS NULL").count() == 1
+    assert tables.spread(df, requests_file) is df
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 16)
     spread = tables.spread(df, requests_file)
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(map(str, spread.collect())) == sorted(map(str, df.collect()))
     staged = tables.staged(df)
-    assert staged.schema == df.schema and sorted(staged.collect()) == sorted(df.collect())
+    assert staged.schema == df.schema and sorted(map(str, staged.collect())) == sorted(map(str, df.collect()))
     named = tables.read_table(spark, requests_file, schema="k string, created string")
     assert named.columns == ["k", "created"]
 

@@ -12,6 +12,7 @@ from gaugewell.operators.ranks import ranked_values
 from gaugewell.operators.sample import pilot_sample
 from gaugewell.operators.scalars import scalar_metrics
 from gaugewell.plans import profile, reports, semantic
+from gaugewell.sources import tables
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin")
 
@@ -48,7 +49,8 @@ def test_distinct_and_rankings_share_the_value_shuffle(spark, sf, plan):
     assert len(re.findall(r"FileScan", final)) == 2
 
 
-def test_a_spread_source_is_read_once(spark, sf, plan):
+def test_a_spread_source_is_read_once(spark, sf, plan, monkeypatch):
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 1 << 10)
     df = I.table(spark, sf, "lineitem", spread=True)
     final = plan(profile.column_metrics(df), run=True).split("Initial Plan")[0]
     assert final.count("FileScan") == 1
