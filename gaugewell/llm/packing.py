@@ -37,10 +37,14 @@ END_ID = 1
 # --- linear program ------------------------------------------------------------------------
 
 
-def _first_patterns(lengths: np.ndarray, demand: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """A feasible basis: patterns filled largest first, each used until one of its lengths is used up."""
+def _first_patterns(lengths: np.ndarray, demand: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """A feasible basis: patterns filled largest first, each used until one of its lengths is used up.
+
+    Returns patterns, how often each is used, and the length that each used up: no later
+    pattern holds it, so the basis is triangular.
+    """
     left = demand.astype(float).copy()
-    columns, times = [], []
+    columns, times, used_up = [], [], []
     alive = list(range(len(lengths)))  # ascending lengths
     import bisect
 
@@ -64,8 +68,20 @@ def _first_patterns(lengths: np.ndarray, demand: np.ndarray, size: int) -> tuple
         left[out] = 0
         columns.append(column)
         times.append(x)
+        used_up.append(int(out))
         alive.remove(out)
-    return np.array(columns).T, np.array(times)
+    return np.array(columns).T, np.array(times), used_up
+
+
+def _inverse(columns: np.ndarray, used_up: list[int]) -> np.ndarray:
+    """Inverse of a triangular basis by forward substitution; a row has few entries."""
+    out = np.zeros(columns.shape)
+    for k, row in enumerate(used_up):
+        out[k, row] = 1.0
+        for j in np.flatnonzero(columns[row, :k]):
+            out[k] -= columns[row, j] * out[j]
+        out[k] /= columns[row, k]
+    return out
 
 
 def _price(lengths: np.ndarray, duals: np.ndarray, size: int) -> tuple[float, np.ndarray]:
@@ -91,21 +107,22 @@ def _price(lengths: np.ndarray, duals: np.ndarray, size: int) -> tuple[float, np
     return float(best[size]), column
 
 
-def solve(lengths: np.ndarray, demand: np.ndarray, size: int, tolerance: float = 0.001, rounds: int = 200):
+def solve(lengths: np.ndarray, demand: np.ndarray, size: int, tolerance: float = 0.001, rounds: int = 60):
     """Patterns (columns) and how often each is used, fractions allowed: within ``tolerance`` of the fewest
     sequences, or after ``rounds`` columns as good as it is by then."""
-    columns, x = _first_patterns(lengths, demand, size)
-    least = float(lengths @ demand) / size
+    columns, x, used_up = _first_patterns(lengths, demand, size)
+    least = float((lengths * demand).sum()) / size
     if x.sum() <= least * (1 + tolerance):
         return columns, x
-    inverse = np.linalg.inv(columns)
+    inverse = _inverse(columns, used_up)
     for _ in range(rounds):
         duals = inverse.sum(axis=0)
         value, column = _price(lengths, np.maximum(duals, 0), size)
         total = x.sum()
         if value <= 1 + 1e-9 or total <= max(least, total / value) * (1 + tolerance):
             break
-        step = inverse @ column
+        some = np.flatnonzero(column)
+        step = (inverse[:, some] * column[some]).sum(axis=1)
         able = step > 1e-9
         if not able.any():
             break
@@ -185,7 +202,7 @@ def plan_packing(counts: dict[int, int], size: int = SEQUENCE, slack: int = 0) -
             column = columns[:, j].astype(np.int64)
             used = np.flatnonzero(column)
             times = min(int(np.floor(x[j] + 1e-6)), *(left[used] // column[used]).tolist())
-            if times <= 0 or size - int(lengths @ column) > slack:
+            if times <= 0 or size - int((lengths * column).sum()) > slack:
                 continue
             offset = 0
             for i in used[::-1]:
