@@ -14,8 +14,9 @@ sorted files) for suffixes whose leading bytes are known, and against itself.  I
 becomes a level; two levels of equal size merge into one of twice the size.
 
 Long matches are settled on the suffixes that the scans found: where the whole stretch
-around an anchor is repeated, all its strings are; else its strings are compared one by
-one by 128 bits of hash.
+around an anchor is repeated, all its strings are; else its strings are compared with those
+of its fingerprint, by 128 bits of hash: in one task while they are few, dealt by string
+where they are many.
 """
 
 from __future__ import annotations
@@ -210,6 +211,64 @@ def _string_hashes(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     )
 
 
+#: Stretches around one fingerprint that a task compares at once; a fingerprint with more goes string by string.
+TOGETHER = 4096
+
+
+def _stretch_spans(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
+    """doc_id, key, lo, hi: repeated strings of the given runs, compared fingerprint by fingerprint.
+
+    The bytes of each run's strings go to the task of its fingerprint (core), which holds
+    ``TOGETHER`` stretches at most, each shorter than two strings.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    lists = runs.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "back", "fore", "core")).alias("runs"))
+    joined = _keyed(docs).join(lists.hint("shuffle_hash"), ["doc_id", "key"]).select("doc_id", "key", "text", F.explode("runs").alias("r"))
+    lo = F.col("r.at") - F.col("r.back")
+    cut = F.substring(F.encode("text", "UTF-8"), (lo + 1).cast("int"), F.col("r.fore") + length)
+    rows = joined.select("doc_id", "key", lo.alias("lo"), "r.back", "r.core", cut.alias("stretch"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(group: pa.Table) -> pa.RecordBatch:
+            data, offsets = text_bytes(group.column("stretch").combine_chunks())
+            back = group.column("back").to_numpy().astype(np.int64)
+            count = np.diff(offsets) - length + 1
+            which = np.repeat(np.arange(len(count)), count)
+            step = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+            place = offsets[which] + step
+            string = RangeHash(data)(place, place + length) + mix((back[which] - step + 1).astype(np.uint64))
+            _, inverse, n = np.unique(string, return_inverse=True, return_counts=True)
+            twice = np.flatnonzero(n[inverse] > 1)
+            first = np.ones(len(twice), bool)
+            first[1:] = (np.diff(twice) != 1) | (np.diff(which[twice]) != 0)
+            a = np.flatnonzero(first)
+            b = np.append(a[1:], len(twice)) - 1 if len(a) else a
+            row = which[twice[a]]
+            start = group.column("lo").to_numpy()[row]
+            taken = group.select(["doc_id", "key"]).take(pa.array(row)).combine_chunks()
+            columns = [taken.column(c).combine_chunks() for c in ("doc_id", "key")]
+            return pa.RecordBatch.from_arrays(
+                [*columns, pa.array(start + step[twice[a]]), pa.array(start + step[twice[b]])], ["doc_id", "key", "lo", "hi"]
+            )
+
+        core, held = None, []
+        for batch in batches:
+            cores = batch.column("core").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(cores)) + 1).tolist(), len(cores)]
+            for s, e in zip(cuts, cuts[1:]):
+                if e > s and cores[s] != core:
+                    if held:
+                        yield settle(pa.Table.from_batches(held))
+                    core, held = cores[s], []
+                if e > s:
+                    held.append(batch.slice(s, e - s))
+        if held:
+            yield settle(pa.Table.from_batches(held))
+
+    dealt = rows.repartition("core").sortWithinPartitions("core")
+    return dealt.mapInArrow(run, f"doc_id {kind}, key long, lo long, hi long")
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
     """Where repeated strings start: doc_id, key, lo, hi (first and last start of a run of repeated strings)."""
     all_runs = stored(suffixes(docs, length, batches), "suffixes")
@@ -227,10 +286,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     whole = whole.select("doc_id", "key", (F.col("at") - F.col("back")).alias("lo"), (F.col("at") - F.col("back") + F.col("fore")).alias("hi"))
     # strings of classes that are not repeated as a whole, and of one of each class that they could meet
     several = classes.groupBy("core").agg(F.count("*").alias("classes")).where("classes > 1")
-    meeting = classes.join(lone.join(several, "core"), "core", "left_semi").select("one.*", "core")
-    strings = stored(_string_hashes(docs, meeting, length), "strings")
-    same = strings.groupBy("core", "back", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    single = strings.join(same, ["core", "back", "string"], "left_semi").select("doc_id", "key", F.col("start").alias("lo"), F.col("start").alias("hi"))
+    meeting = classes.join(lone.join(several, "core").select("core", "classes"), "core").select("one.*", "core", "classes")
+    meeting = stored(meeting, "suffix-meetings")
+    few = meeting.where(F.col("classes") <= TOGETHER).drop("classes")
+    single = _stretch_spans(docs, few, length)
+    many = meeting.where(F.col("classes") > TOGETHER).drop("classes")
+    if many.limit(1).count():
+        strings = stored(_string_hashes(docs, many, length), "strings")
+        same = strings.groupBy("core", "back", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        hot = strings.join(same, ["core", "back", "string"], "left_semi")
+        single = single.unionAll(hot.select("doc_id", "key", F.col("start").alias("lo"), F.col("start").alias("hi")))
     spans = stored(whole.unionAll(single), "spans")
     index.close()
     return spans
