@@ -35,7 +35,7 @@ from gaugewell.llm.common import (
 )
 
 BUCKETS = 4096
-SMOOTHING = 0.5
+SMOOTHING = 2.0
 MAX_N = 2
 #: Least p_target / p_raw of a document that counts towards the default k.
 WORTH = 0.05
@@ -113,9 +113,13 @@ def gram_counts(texts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
-    """log p_target - log p_raw per bucket, both smoothed."""
-    p, q = target + smoothing, raw + smoothing
-    return np.log(p / p.sum()) - np.log(q / q.sum())
+    """log p_target - log p_raw per bucket.
+
+    Counts of the target are held against those expected under the raw model, both with
+    ``smoothing`` more, so a bucket of few expected counts says little in either direction.
+    """
+    expected = raw * (target.sum() / max(raw.sum(), 1.0))
+    return np.log(target + smoothing) - np.log(expected + smoothing)
 
 
 def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
