@@ -128,6 +128,30 @@ def detector_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def keyed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of :func:`detector_cells` with what identifies their row: (column_name, row_key, value)."""
+
+    def column(name: str, source: str, field: str, key: str) -> DataFrame:
+        return table(spark, sf_dir, source).select(
+            F.lit(name).alias("column_name"), F.expr(f"concat('{name} ', {key})").alias("row_key"), F.col(field).alias("value")
+        )
+
+    literals = table(spark, sf_dir, "customer").select(
+        F.lit("literal").alias("column_name"),
+        F.expr("concat('literal ', c_custkey)").alias("row_key"),
+        cycle(LITERALS + (None,), F.col("c_custkey")).alias("value"),
+    )
+    parts = [
+        literals,
+        column("url", "pages", "url", "page_id"),
+        column("html", "pages", "html", "page_id"),
+        column("document", "documents", "text", "doc_id"),
+        column("message", "conversations", "text", "conv_id, ' ', turn"),
+        column("part_name", "part", "p_name", "p_partkey"),
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def rule_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer names spread over columns whose names matter; a few are NULL."""
     return table(spark, sf_dir, "customer").select(

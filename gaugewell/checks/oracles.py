@@ -312,15 +312,18 @@ def _standard() -> dict[str, str]:
     return {n: PREDICATES[n] for n in STANDARD}
 
 
+KEYED_CELLS = f"""
+SELECT 'literal' AS column_name, concat('literal ', c_custkey) AS row_key,
+  {_cycle(I.LITERALS + (None,), 'c_custkey')} AS value FROM customer
+UNION ALL SELECT 'url', concat('url ', page_id), url FROM pages
+UNION ALL SELECT 'html', concat('html ', page_id), html FROM pages
+UNION ALL SELECT 'document', concat('document ', doc_id), text FROM documents
+UNION ALL SELECT 'message', concat('message ', conv_id, ' ', turn), text FROM conversations
+UNION ALL SELECT 'part_name', concat('part_name ', p_partkey), p_name FROM part"""
+
 SAMPLE = f"""
-SELECT column_name, value FROM (
-  SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY b, d, value) AS place FROM (
-    SELECT column_name, value, md5(coalesce(value, '')) AS d,
-      ('0x' || substr(md5(coalesce(value, '')), 1, 8))::bigint % 10 AS b,
-      count(*) OVER (PARTITION BY column_name) AS total
-    FROM ({DETECTOR_CELLS}))
-  WHERE b < 9)
-WHERE place <= 100 AND (total <= 1000 OR b = 0)"""
+SELECT column_name, value FROM ({KEYED_CELLS})
+WHERE ('0x' || substr(md5(row_key), 1, 8))::bigint % 10000 < 1000"""
 
 
 def _types(counts: str, key: str = "column_name", name: str = "column_name") -> str:
@@ -347,16 +350,6 @@ UNION ALL SELECT {lead}, 'other', {name}, count FROM c
 WHERE label = '{NON_EMPTY}' AND {key} NOT IN (SELECT {key} FROM found)"""
 
 
-def _two_phase() -> str:
-    seen = f"SELECT column_name, label FROM ({_long_counts(SAMPLE, _standard())}) WHERE count > 0"
-    full = _long_counts(DETECTOR_CELLS, _standard())
-    gated = (
-        f"SELECT column_name, label, CASE WHEN label = '{NON_EMPTY}' OR (column_name, label) IN ({seen}) "
-        f"THEN count ELSE 0 END AS count, pos FROM ({full})"
-    )
-    return _types(gated)
-
-
 def _table_cells() -> str:
     parts = []
     for name, kind in LINEITEM_COLUMNS:
@@ -453,7 +446,6 @@ LEFT JOIN (SELECT id, min(name) AS name FROM ({DISPLAY_NAMES}) GROUP BY id) n ON
         "sw_candidates": "SELECT column_name, label, count FROM "
         f"({_long_counts(SAMPLE, _standard())}) WHERE count > 0",
         "sw_full_counts": f"SELECT column_name, label, count FROM ({_long_counts(DETECTOR_CELLS, _standard())})",
-        "sw_two_phase": _two_phase(),
         "sw_name_rules": "SELECT column_name, semantic_type, count FROM "
         f"({_types(_long_counts(RULE_CELLS, {}))}) WHERE semantic_type <> 'other'",
         "sw_other": f"SELECT * FROM ({_types(_long_counts(RULE_CELLS, {}))}) WHERE semantic_type = 'other'",

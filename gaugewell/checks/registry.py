@@ -313,11 +313,12 @@ def _flat_types(nested: DataFrame) -> DataFrame:
 
 
 def _sample(spark: SparkSession, sf: str) -> DataFrame:
-    return pilot_sample(I.detector_cells(spark, sf)).select("column_name", F.md5("value").alias("digest"))
+    drawn = pilot_sample(I.keyed_cells(spark, sf), F.col("row_key"))
+    return drawn.select("column_name", F.md5("value").alias("digest"))
 
 
 def _candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return semantic.candidates(I.detector_cells(spark, sf), _all_detectors())
+    return semantic.candidates(I.keyed_cells(spark, sf), F.col("row_key"), _all_detectors())
 
 
 def _full_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -325,12 +326,6 @@ def _full_counts(spark: SparkSession, sf: str) -> DataFrame:
     return semantic.long_counts(semantic.detector_counts(I.detector_cells(spark, sf), found), found)
 
 
-def _two_phase(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_types(
-        semantic.semantic_profile(I.detector_cells(spark, sf), _all_detectors(), mode="two_phase")
-    )
-
-
 def _semantic_profile(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_types(semantic.semantic_profile(I.detector_cells(spark, sf), _all_detectors()))
 
@@ -438,7 +433,6 @@ def queries() -> dict[str, Query]:
         "sw_sample": _sample,
         "sw_candidates": _candidates,
         "sw_full_counts": _full_counts,
-        "sw_two_phase": _two_phase,
         "sw_name_rules": _name_rules,
         "sw_other": _other,
         "sw_profile": _semantic_profile,

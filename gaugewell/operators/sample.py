@@ -1,73 +1,30 @@
-"""Pilot sample of every column, the same on any layout of the data.
+"""Pilot sample of rows, the same on any layout of the data.
 
-``DataFrame.sample`` draws by partition, so its result moves with the layout.
-Here a row is in or out by a digest of its key, and the first rows in digest
-order are kept.
+``DataFrame.sample`` draws by partition, so its result moves with the layout.  Here a row
+is in or out by a digest of what identifies it: one filter, no shuffle, no cap.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# A column of more than 1000 rows is sampled at 10 %, a shorter one
-# at 90 %, and no sample is longer than 100 rows.
-LONG_COLUMN = 1000
-BUCKETS = 10
-LONG_BUCKETS = 1
-SHORT_BUCKETS = 9
-SAMPLE_ROWS = 100
+#: Share of the rows that a sample takes.
+FRACTION = 0.1
+_PARTS = 10_000
 
-# Short columns the driver may name to the scan; beyond that both rates are put
-# in order and a join decides.
-MAX_SHORT_COLUMNS = 10_000
 
-_SALTS = 64
+def digest_part(key: Column) -> Column:
+    """0 to 9999 by the first 32 bits of the md5 digest of a row's key; a NULL key counts as empty."""
+    digest = F.md5(F.coalesce(key.cast("string"), F.lit("")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % _PARTS
 
 
-def digest_bucket(digest: Column) -> Column:
-    """Bucket 0-9 of an md5 digest: its first 32 bits modulo 10."""
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % BUCKETS
+def pilot_sample(values: DataFrame, key: Column, column: str = "column_name", fraction: float = FRACTION) -> DataFrame:
+    """Rows (column, value) whose key falls into the sampled ``fraction``.
 
-
-def pilot_sample(values: DataFrame, column: str = "column_name", key: Column | None = None) -> DataFrame:
-    """At most 100 rows (column, value) per column.
-
-    ``key`` identifies a row; without one the value stands for itself, and all
-    copies of a value are in or out together.  The rows of every column are
-    counted first, so that of long columns only the tenth to be sampled is put
-    in order.  Those rows are cut within tasks, then among 64 salted groups,
-    then once more: a column that fills a third of the data never meets in one
-    task.
+    ``key`` must tell rows apart: equal values of different rows are drawn one by one.
     """
-    rows = values.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    short = rows.where(F.col("rows") <= LONG_COLUMN).select(column).limit(MAX_SHORT_COLUMNS + 1).collect()
-    listed = len(short) <= MAX_SHORT_COLUMNS
-
-    digest = F.md5(F.coalesce((F.col("value") if key is None else key).cast("string"), F.lit("")))
-    sampled = values.select(column, "value", digest.alias("digest")).withColumn(
-        "bucket", digest_bucket(F.col("digest"))
-    )
-    if listed:
-        is_short = F.col(column).isin([r[0] for r in short]) if short else F.lit(False)
-        sampled = sampled.where(
-            (F.col("bucket") < LONG_BUCKETS) | (is_short & (F.col("bucket") < SHORT_BUCKETS))
-        )
-    else:
-        sampled = sampled.where(F.col("bucket") < SHORT_BUCKETS)
-    # Bucket 0 sorts first: the head of the 90 % sample is that of the 10 % sample.
-    order = ["bucket", "digest", "value"]
-    local = W.partitionBy(column, "salt").orderBy(*order)
-    overall = W.partitionBy(column).orderBy(*order)
-    head = (
-        sampled.withColumn("salt", F.spark_partition_id() % _SALTS)
-        .withColumn("place", F.row_number().over(local))
-        .where(F.col("place") <= SAMPLE_ROWS)
-        .withColumn("place", F.row_number().over(overall))
-        .where(F.col("place") <= SAMPLE_ROWS)
-    )
-    if not listed:
-        keep = (F.col("rows") <= LONG_COLUMN) | (F.col("bucket") < LONG_BUCKETS)
-        head = head.join(rows, column).where(keep)
-    return head.select(column, "value")
+    if not 0 <= fraction <= 1:
+        raise ValueError("a fraction between 0 and 1")
+    return values.where(digest_part(key) < round(fraction * _PARTS)).select(column, "value")

@@ -14,15 +14,10 @@ from pyspark.sql import functions as F
 
 from gaugewell.functions.detectors import Detector, detectors, named_types
 from gaugewell.operators.cells import to_cells
-from gaugewell.operators.sample import pilot_sample
+from gaugewell.operators.sample import FRACTION, pilot_sample
 
 NON_EMPTY = "number_of_non_empty_cells"
 
-# (column, label) pairs the two-phase mode may hold on the driver; beyond that
-# it joins instead.
-MAX_GATES = 100_000
-
-
 WEIGHT = "n"
 
 
@@ -49,12 +44,11 @@ def counted_column_values(df: DataFrame) -> DataFrame:
 
 
 def _counts(
-    values: DataFrame, found: Iterable[Detector], column: str, gates: dict[str, list[str]] | None = None
+    values: DataFrame, found: Iterable[Detector], column: str
 ) -> DataFrame:
     """One row per column: non-empty cells and the hits of each detector.
 
-    A row counts once, or as often as its weight says.  With ``gates``, a
-    detector runs only on the columns listed for it.
+    A row counts once, or as often as its weight says.
     """
     weighted = WEIGHT in values.columns
     lowered = values.select("*", F.lower("value").alias("lowered"))
@@ -67,9 +61,6 @@ def _counts(
     hits = []
     for d in found:
         test = d.hits("value", "lowered")
-        if gates is not None:
-            listed = gates.get(d.name)
-            test = (F.col(column).isin(listed) & test) if listed else F.lit(False)
         hits.append(total(test).alias(d.name))
     return lowered.groupBy(column).agg(total(F.col("value").isNotNull()).alias(NON_EMPTY), *hits)
 
@@ -90,50 +81,23 @@ def long_counts(counts: DataFrame, found: list[Detector], column: str = "column_
 
 def candidates(
     values: DataFrame,
+    key: Column,
     found: list[Detector] | None = None,
     column: str = "column_name",
-    key: Column | None = None,
+    fraction: float = FRACTION,
 ) -> DataFrame:
-    """Labels with a hit in the pilot sample: rows (column, label, count).
+    """Labels with a hit in a pilot sample of rows, as (column, label, count): a preview.
 
-    The sample is of rows, so ``values`` must not be counted beforehand.
+    Counts of the profile itself are always of all rows.  ``key`` identifies a row, so
+    ``values`` must not be counted beforehand.
     """
     if WEIGHT in values.columns:
         raise ValueError("sample the rows of a column, not its counted values")
     found = detectors() if found is None else found
-    pilot = _counts(pilot_sample(values, column, key), found, column)
+    pilot = _counts(pilot_sample(values, key, column, fraction), found, column)
     return long_counts(pilot, found, column).where("count > 0")
 
 
-def candidate_counts(
-    values: DataFrame,
-    found: list[Detector] | None = None,
-    column: str = "column_name",
-    key: Column | None = None,
-) -> DataFrame:
-    """Two-phase counts: a detector the pilot sample did not see counts 0.
-
-    The candidates (a few labels per column) are fetched to gate the detectors
-    of the full scan.  Should they outgrow ``MAX_GATES``, all detectors run and
-    the others are struck out by a join, with the same result.
-    """
-    found = detectors() if found is None else found
-    seen = candidates(values, found, column, key).where(F.col("label") != NON_EMPTY)
-    fetched = seen.select(column, "label").limit(MAX_GATES + 1).collect()
-    if len(fetched) <= MAX_GATES:
-        gates: dict[str, list[str]] = {}
-        for row in fetched:
-            gates.setdefault(row["label"], []).append(row[column])
-        return _counts(values, found, column, gates)
-    labels = seen.groupBy(column).agg(F.collect_set("label").alias("seen"))
-    counts = _counts(values, found, column).join(labels, column, "left")
-    struck = [
-        F.when(F.array_contains("seen", d.name), F.col(d.name)).otherwise(F.lit(0).cast("bigint")).alias(d.name)
-        for d in found
-    ]
-    return counts.select(column, NON_EMPTY, *struck)
-
-
 def semantic_types(
     counts: DataFrame,
     found: list[Detector],
@@ -172,19 +136,7 @@ def semantic_profile(
     found: list[Detector] | None = None,
     column: str = "column_name",
     name: Column | None = None,
-    mode: str = "full",
-    key: Column | None = None,
 ) -> DataFrame:
-    """Semantic profile of every column of ``values`` (``column``, ``value``).
-
-    ``mode='full'`` counts every detector exactly; ``'two_phase'`` counts those
-    the pilot sample saw.
-    """
+    """Semantic profile of every column of ``values`` (``column``, ``value``), all detectors counted on all rows."""
     found = detectors() if found is None else found
-    if mode == "full":
-        counts = detector_counts(values, found, column)
-    elif mode == "two_phase":
-        counts = candidate_counts(values, found, column, key)
-    else:
-        raise ValueError("mode must be 'full' or 'two_phase'")
-    return semantic_types(counts, found, column, name)
+    return semantic_types(detector_counts(values, found, column), found, column, name)

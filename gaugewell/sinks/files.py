@@ -3,17 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gaugewell.session import scratch_path
-from gaugewell.sources.listing import list_files
 from gaugewell.sources.tables import staged
 
-# What a single-file report may hold; larger results stay in parallel files.
-SINGLE_FILE_ROWS = 1_000_000
-SINGLE_FILE_BYTES = 256 << 20
-
-
 def append_json(df: DataFrame, path: str) -> None:
     """Append rows as JSON Lines; NULL fields are left out."""
     df.write.mode("append").json(path)
@@ -33,22 +26,11 @@ def write_csv(
     writer.csv(path)
 
 
-def write_single_csv(
-    df: DataFrame,
-    path: str,
-    mode: str = "error",
-    max_rows: int = SINGLE_FILE_ROWS,
-    max_bytes: int = SINGLE_FILE_BYTES,
-) -> bool:
-    """Write one CSV file with a header, if the result is small enough.
-
-    The result is computed once, in parallel, into the shared folder; only a
-    copy of checked size passes through one task.  Larger results are written as
-    parallel files.  Returns whether one file was written.
+def write_single_csv(df: DataFrame, path: str, mode: str = "error") -> None:
+    """Write one CSV file with a header, for reports: all rows pass through one task.
+
+    The rows are computed once, in parallel, into the shared folder; only the copy is one
+    task's work.  For large results use :func:`write_csv`.
     """
-    stage = scratch_path(df.sparkSession, "report")
-    rows = staged(df, stage)
-    size = list_files(df.sparkSession, stage).agg(F.sum("length")).first()[0] or 0
-    single = size <= max_bytes and rows.limit(max_rows + 1).count() <= max_rows
-    (rows.coalesce(1) if single else rows).write.mode(mode).option("header", True).csv(path)
-    return single
+    rows = staged(df, scratch_path(df.sparkSession, "report"))
+    rows.coalesce(1).write.mode(mode).option("header", True).csv(path)

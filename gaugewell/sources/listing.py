@@ -19,11 +19,11 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str | None = No
 def read_manifest(spark: SparkSession, path: str, first: int | None = None) -> DataFrame:
     """The column files of a manifest: ``pos``, ``file_name``, ``dataset_id``, ``column_name``, ``valid``.
 
-    A manifest is one line, a bracketed list of quoted names of four dotted
-    parts.  Names of another shape are kept with ``valid = false``.  ``first``
+    A manifest is a bracketed list of quoted names of four dotted parts, on any
+    number of lines; ``pos`` counts from 0 in each file.  Names of another shape are kept with ``valid = false``.  ``first``
     keeps the first n entries in manifest order.
     """
-    names = spark.read.text(path).where("_metadata.file_block_start = 0").limit(1)
+    names = spark.read.text(path, wholetext=True)
     parts = F.split("file_name", r"\.")
     valid = F.size(parts) == 4
     listed = names.select(

@@ -4,6 +4,7 @@ import gzip
 import json
 
 from gaugewell.plans import runs
+from gaugewell.sources import listing
 
 from test_files import REQUESTS
 
@@ -39,15 +40,20 @@ def test_semantic_run(spark, tmp_path):
     (folder / "d4.Late.a.b").write_text("RED\n")
     manifest = tmp_path / "manifest.txt"
     manifest.write_text("['d1.Colour.a.b', 'd2.First_Name.a.b', 'odd', 'd3.Empty.a.b', 'd4.Late.a.b']\n")
-    for mode in ("full", "two_phase"):
-        out = str(tmp_path / mode)
-        rejected = runs.semantic_run(spark, str(folder), str(manifest), out, n=4, mode=mode)
-        assert [(r.pos, r.file_name) for r in rejected.collect()] == [(2, "odd")]
-        got = {row["column_name"]: row["semantic_types"] for row in lines(spark, out)}
-        assert got["First_Name"] == [{"semantic_type": "person_name", "count": 2}]
-        assert got["Empty"] == [{"semantic_type": "other", "label": "Empty", "count": 0}]
-        assert got["Colour"][0]["semantic_type"] in ("color", "other") and "Late" not in got
-    assert got["Colour"] and {"semantic_type": "color", "count": 2} in {r["column_name"]: r["semantic_types"] for r in lines(spark, str(tmp_path / "full"))}["Colour"]
+    out = str(tmp_path / "out")
+    rejected = runs.semantic_run(spark, str(folder), str(manifest), out, n=4)
+    assert [(r.pos, r.file_name) for r in rejected.collect()] == [(2, "odd")]
+    got = {row["column_name"]: row["semantic_types"] for row in lines(spark, out)}
+    assert got["First_Name"] == [{"semantic_type": "person_name", "count": 2}]
+    assert got["Empty"] == [{"semantic_type": "other", "label": "Empty", "count": 0}]
+    assert {"semantic_type": "color", "count": 2} in got["Colour"] and "Late" not in got
+
+
+def test_manifest_of_several_lines(spark, tmp_path):
+    path = tmp_path / "manifest.txt"
+    path.write_text("['a.A.x.y',\n 'b.B.x.y',\n 'c.C.x.y']\n")
+    rows = listing.read_manifest(spark, str(path)).orderBy("pos").collect()
+    assert [(r.pos, r.column_name) for r in rows] == [(0, "A"), (1, "B"), (2, "C")]
 
 
 def test_report_run(spark, tmp_path):

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugewell.functions.detectors import detectors
-from gaugewell.operators import sample
 from gaugewell.operators.sample import pilot_sample
 from gaugewell.plans import semantic
 
@@ -23,38 +22,29 @@ def cells():
     return rows
 
 
-def brute_sample(rows):
-    expected = []
-    for column in {c for c, _ in rows}:
-        values = [v for c, v in rows if c == column]
-        marked = []
-        for v in values:
-            digest = hashlib.md5((v or "").encode()).hexdigest()
-            marked.append((int(digest[:8], 16) % 10, digest, v))
-        limit = 1 if len(values) > 1000 else 9
-        kept = sorted((m for m in marked if m[0] < limit), key=lambda m: (m[0], m[1], m[2] or ""))
-        expected += [(column, v) for _, _, v in kept[:100]]
-    return sorted(expected, key=repr)
+def brute_sample(rows, parts=1000):
+    return sorted(
+        ((c, v) for k, c, v in rows if int(hashlib.md5(str(k).encode()).hexdigest()[:8], 16) % 10_000 < parts), key=repr
+    )
 
 
 @pytest.mark.parametrize("parts", [1, 7, 64])
 def test_sample_on_any_layout(spark, parts):
-    rows = cells()
-    df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
-    got = sorted(((r.column_name, r.value) for r in pilot_sample(df).collect()), key=repr)
+    rows = [(k, c, v) for k, (c, v) in enumerate(cells())]
+    df = spark.createDataFrame(rows, "k long, column_name string, value string").repartition(parts)
+    got = sorted(((r.column_name, r.value) for r in pilot_sample(df, F.col("k")).collect()), key=repr)
     assert got == brute_sample(rows)
 
 
-def test_sample_without_a_list_of_short_columns(spark, monkeypatch):
-    rows = cells()
-    monkeypatch.setattr(sample, "MAX_SHORT_COLUMNS", 1)
-    got = sorted(((r.column_name, r.value) for r in pilot_sample(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr)
-    assert got == brute_sample(rows)
-
-
-def test_sample_by_row_key(spark):
-    df = spark.range(5000).select(F.lit("c").alias("column_name"), F.lit("same").alias("value"), "id")
-    assert pilot_sample(df, key=F.col("id")).count() == 100
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_columns_of_few_values_are_seen(spark, parts):
+    boroughs = F.element_at(F.array(*map(F.lit, ("Manhattan", "Brooklyn", "Bronx", "Queens", "Staten Island"))), (F.col("id") % 5 + 1).cast("int"))
+    colours = F.element_at(F.array(*map(F.lit, ("RED", "BLUE", "GREEN"))), (F.col("id") % 3 + 1).cast("int"))
+    ids = spark.range(5000).repartition(parts)
+    df = ids.select(F.lit("b").alias("column_name"), boroughs.alias("value"), "id").unionAll(ids.select(F.lit("c"), colours, "id"))
+    got = {(r.column_name, r.label) for r in semantic.candidates(df, F.col("id")).collect()}
+    assert ("b", "borough") in got and ("c", "color") in got
+    assert 400 < pilot_sample(df.where("column_name = 'b'"), F.col("id")).count() < 600
 
 
 def types_of(frame):
@@ -73,21 +63,6 @@ def test_profile(spark):
     assert got["void"] == [("other", "void", 0)]
 
 
-def test_two_phases(spark, monkeypatch):
-    rows = cells() + [("rare", f"plain {i}") for i in range(20_000)] + [("rare", "RED")]
-    df = spark.createDataFrame(rows, SCHEMA)
-    full = types_of(semantic.semantic_profile(df))
-    two = types_of(semantic.semantic_profile(df, mode="two_phase"))
-    assert ("color", None, 1) in full["rare"]
-    seen = {c for c, v in brute_sample(rows) if v == "RED"}
-    assert (("color", None, 1) in two["rare"]) == ("rare" in seen)
-    assert two["mid"] == full["mid"] and two["void"] == full["void"]
-    monkeypatch.setattr(semantic, "MAX_GATES", 1)
-    assert types_of(semantic.semantic_profile(df, mode="two_phase")) == two
-    with pytest.raises(ValueError):
-        semantic.semantic_profile(df, mode="half")
-
-
 def test_counted_values_count_alike(spark):
     df = spark.sql("SELECT id % 7 AS k, IF(id % 3 = 0, NULL, 'RED') AS colour, CAST(NULL AS INT) AS void FROM range(1000)")
     found = detectors()
@@ -95,4 +70,4 @@ def test_counted_values_count_alike(spark):
     counted = types_of(semantic.semantic_profile(semantic.counted_column_values(df), found))
     assert plain == counted and plain["void"] == [("other", "void", 0)]
     with pytest.raises(ValueError):
-        semantic.candidates(semantic.counted_column_values(df))
+        semantic.candidates(semantic.counted_column_values(df), F.col("value"))
