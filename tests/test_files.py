@@ -105,7 +105,7 @@ def test_manifest(spark, tmp_path):
     (tmp_path / "m.txt").write_text("['d1.Zip.a.b', 'd2.Some Col.a.b', 'broken.name']\n['later.x.y.z']\n")
     rows = listing.read_manifest(spark, str(tmp_path / "m.txt")).orderBy("pos").collect()
     assert [(r.pos, r.dataset_id, r.column_name, r.valid) for r in rows] == [
-        (0, "d1", "Zip", True), (1, "d2", "Some Col", True), (2, None, None, False),
+        (0, "d1", "Zip", True), (1, "d2", "Some Col", True), (2, None, None, False), (3, "later", "x", True),
     ]
     assert listing.read_manifest(spark, str(tmp_path / "m.txt"), first=1).count() == 1
 
