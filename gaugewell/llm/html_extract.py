@@ -226,8 +226,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, path; one row per row of ``pages`` (page_id, url, html).
 
     Main text by the best of the host's winning paths that the page has, by the page's own
-    best container if it has none.  Blocks are joined by line ends.  NULL or empty html
-    gives the empty text and a NULL path; a NULL url is the host ''.
+    best container if it has none.  A page without any container is its blocks, with a NULL
+    path.  Blocks are joined by line ends.  NULL or empty html gives the empty text and a
+    NULL path; a NULL url is the host ''.
     """
     kind = pages.schema["page_id"].dataType.simpleString()
     winners = stored(winning_paths(pages), "host-paths")
@@ -244,7 +245,7 @@ def extract(pages: DataFrame) -> DataFrame:
                     if path is None and has:
                         own = scores(found)
                         path = max(own, key=lambda p: (own[p], p))
-                    texts.append("\n".join(text for around, text, _ in found if path in around))
+                    texts.append("\n".join(text for around, text, _ in found if path is None or path in around))
                     used.append(path)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(used, pa.string())],
