@@ -277,7 +277,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     for i in range(batches):
         found = index.add(all_runs.where(F.col("batch") == i))
         cores = found if cores is None else cores.unionAll(found)
-    known = all_runs.join(cores.distinct(), "core", "left_semi").drop("batch")
+    # written once: classes and spans both read it, and a hot fingerprint's rows can be split in the join
+    known = stored(all_runs.join(cores.distinct(), "core", "left_semi").drop("batch"), "suffixes-known")
+    index.close()
+    dropped(all_runs)
     classes = known.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "key", "at", "back", "fore")).alias("one"))
     classes = stored(classes, "suffix-classes")
     lone = classes.where("n = 1").groupBy("core").agg(F.count("*").alias("lone"))
@@ -297,7 +300,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
         hot = strings.join(same, ["core", "back", "string"], "left_semi")
         single = single.unionAll(hot.select("doc_id", "key", F.col("start").alias("lo"), F.col("start").alias("hi")))
     spans = stored(whole.unionAll(single), "spans")
-    index.close()
+    for done in (known, classes, meeting):
+        dropped(done)
     return spans
 
 
