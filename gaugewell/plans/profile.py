@@ -20,6 +20,9 @@ from gaugewell.operators.cells import Cells, to_cells
 from gaugewell.operators.ranks import RANKINGS, TOP, distinct_counts, ranked_lists
 from gaugewell.operators.scalars import scalar_metrics
 
+# Counts that are 0, not NULL, for a column without cells.
+COUNTS = ("number_non_empty_cells", "number_empty_cells", "number_distinct_values", "string_count")
+
 # Section labels of a column profile, in output order.
 INTEGER_TYPE, REAL_TYPE, DATE_TYPE, TEXT_TYPE = "INTEGER (LONG)", "REAL", "DATE/TIME", "TEXT"
 
@@ -56,6 +59,10 @@ def _metrics(cells: Cells, distinct: str, int_type: str, k: int, rsd: float) ->
             .drop("counted_cells")
         )
     merged = merged.join(ranked_lists(cells, RANKINGS, k), "col_id", "left")
+    # Columns without cells, as those of an empty table, have rows too.  The metrics are
+    # one row per column of the schema at most, so they are broadcast.
+    every = cells.frame.sparkSession.range(0, len(cells.names), 1, 1).select(F.col("id").cast("int").alias("col_id"))
+    merged = every.join(F.broadcast(merged), "col_id", "left").fillna(0, list(COUNTS))
     is_text = F.element_at(F.array(*[F.lit(t == "string") for t in cells.dtypes]), F.col("col_id") + 1)
     return merged.withColumns(
         {
@@ -128,7 +135,7 @@ def column_profiles(metrics: DataFrame) -> DataFrame:
 def profile(df: DataFrame, dataset_name: str | None = None, **options) -> DataFrame:
     """Nested profile of one table: ``dataset_name`` and ``columns``, in column order.
 
-    An empty table has no cells, hence no column entries.
+    The columns of an empty table are listed with counts of 0.
     """
     entries = column_profiles(column_metrics(df, **options))
     ordered = F.sort_array(F.collect_list(F.struct("col_id", "profile")))

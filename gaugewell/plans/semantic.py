@@ -136,7 +136,16 @@ def semantic_profile(
     found: list[Detector] | None = None,
     column: str = "column_name",
     name: Column | None = None,
+    names: Iterable[str] = (),
 ) -> DataFrame:
-    """Semantic profile of every column of ``values`` (``column``, ``value``), all detectors counted on all rows."""
+    """Semantic profile of every column of ``values`` (``column``, ``value``), all detectors counted on all rows.
+
+    ``names`` lists columns that get a row though they may have no cells, as those of an empty table.
+    """
     found = detectors() if found is None else found
-    return semantic_types(detector_counts(values, found, column), found, column, name)
+    counts = detector_counts(values, found, column)
+    listed = [(n,) for n in dict.fromkeys(names)]
+    if listed:
+        every = values.sparkSession.createDataFrame(listed, f"`{column}` string")
+        counts = every.join(counts, column, "full").fillna(0)
+    return semantic_types(counts, found, column, name)

@@ -82,8 +82,16 @@ def test_edges(spark):
     assert one["c.d"]["number_empty_cells"] == 1 and one["c.d"]["longest_values"] is None
     assert one["c.d"]["number_distinct_values"] == 0 and one["c.d"]["string_count"] == 0
     empty = spark.createDataFrame([], "a string, b int")
-    assert profile.column_metrics(empty).count() == 0
-    assert profile.profile(empty, "e").first().columns == []
+    nothing = by_column(profile.column_metrics(empty))
+    assert list(nothing) == ["a", "b"] and nothing["a"]["string_count"] == 0
+    for distinct in ("exact", "approx"):
+        for m in by_column(profile.column_metrics(empty, distinct=distinct)).values():
+            assert m["number_non_empty_cells"] == m["number_empty_cells"] == m["number_distinct_values"] == 0
+            assert m["integer_count"] is m["real_count"] is m["date_count"] is m["frequent_values"] is None
+    columns = profile.profile(empty, "e").first().columns
+    assert [(c.column_name, [t.type for t in c.data_types]) for c in columns] == [("a", ["TEXT"]), ("b", [])]
+    both = profile.dataset_profiles({"empty": empty, "full": spark.sql("SELECT 1 AS x")})
+    assert {r.dataset_id: len(r.columns) for r in both.collect()} == {"empty": 2, "full": 1}
     dotted = by_column(profile.column_metrics(spark.sql("SELECT 1 AS `a.b`, 2 AS c"), skip_dotted=True))
     assert list(dotted) == ["c"]
     with pytest.raises(ValueError):

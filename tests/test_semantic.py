@@ -71,3 +71,10 @@ def test_counted_values_count_alike(spark):
     assert plain == counted and plain["void"] == [("other", "void", 0)]
     with pytest.raises(ValueError):
         semantic.candidates(semantic.counted_column_values(df), F.col("value"))
+
+
+def test_columns_without_cells_have_rows(spark):
+    values = spark.createDataFrame([("a", "BRONX")], "column_name string, value string")
+    rows = {r.column_name: r.semantic_types for r in semantic.semantic_profile(values, names=["a", "none"]).collect()}
+    assert (rows["none"][0]["semantic_type"], rows["none"][0]["count"]) == ("other", 0)
+    assert rows["a"][0]["count"] == 1
