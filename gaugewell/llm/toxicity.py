@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,6 +29,8 @@ from gaugewell.llm.common import slices
 #: Bound of the labelled rows that the model is fitted on.
 FIT_ROWS = 20_000
 WINDOW = 12
+#: Characters before and after a hit in which its quotation marks stand.
+QUOTE_REACH = 400
 STEMS = (4, 5, 6)
 #: Terms known without any label.
 SEED = ("idiot", "moron", "stupid", "scum", "worthless", "pathetic", "loser")
@@ -156,9 +159,10 @@ def features(lexicon: Lexicon, harmless: frozenset, clean: set, bad: dict, text:
     for number, m in enumerate(_WORD.finditer(lower)):
         word = m[0]
         if word in bad:
-            line = lower[max(lower.rfind("\n", 0, m.start()) + 1, m.start() - 400) : m.start()]
+            near = max(m.start() - QUOTE_REACH, 0)
+            line = lower[max(lower.rfind("\n", near, m.start()) + 1, near) : m.start()]
             inside = sum(line.count(q) for q in _QUOTES) % 2 == 1
-            is_quote = inside and any(q in lower[m.end() : m.end() + 400] for q in _QUOTES) or any(w in _CUES for w in recent[-3:])
+            is_quote = inside and any(q in lower[m.end() : m.end() + QUOTE_REACH] for q in _QUOTES) or any(w in _CUES for w in recent[-3:])
             weight = 1.0 if bad[word] == 1 else 0.8
             if is_quote:
                 quoted += weight
@@ -167,7 +171,7 @@ def features(lexicon: Lexicon, harmless: frozenset, clean: set, bad: dict, text:
             hits.append((number, word, is_quote))
         recent = (recent + [word])[-WINDOW:]
     places = [n for n, _, q in hits if not q]
-    dense = max((sum(1 for b in places if a <= b < a + WINDOW) for a in places), default=0) if len(places) < 500 else WINDOW
+    dense = max((bisect_left(places, a + WINDOW) - i for i, a in enumerate(places)), default=0)
     return [1.0, min(abuse, 6.0), min(quoted, 6.0), float(min(dense, 4))], hits
 
 
