@@ -17,23 +17,22 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ORACLE_SQL = None
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows whose ids stay."""
-    return docs.join(kept.select("doc_id").distinct(), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*COLUMNS)
-
-
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that importance resampling towards the rows labelled good draws."""
     target = quality.labelled_target(docs, table(spark, sf_dir, "labels"))
-    return _only(docs, quality.resample(docs, target).where("kept"))
+    return quality.resample(docs, target, carry=COLUMNS).where("kept").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates; rows of equal id and text are one."""
-    found = near_minhash.near_duplicates(docs)
-    kept = found.where("kept or doc_id is null").select("doc_id")
-    out = _only(docs, kept)
-    repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    """One row of each group of near-duplicates; rows of equal id and text are one.  Rows without an id stay.
+
+    The ids that go are written first: Spark's own size check then sees them and moves no text where they are few.
+    """
+    found = near_minhash.near_duplicates(docs).where("doc_id is not null")
+    ids = stored(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "near-ids")
+    gone = stored(ids.where("not kept").select("doc_id"), "near-gone")
+    out = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    repeated = ids.where("n > 1").limit(1).count() or docs.where("doc_id is null").limit(2).count() > 1
     return out.dropDuplicates(["doc_id", "text"]) if repeated else out
 
 

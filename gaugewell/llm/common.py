@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gaugewell.session import scratch_path
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

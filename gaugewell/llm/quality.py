@@ -28,6 +28,7 @@ from gaugewell.llm.common import (
     RangeHash,
     mix,
     runs,
+    schema_of,
     slices,
     stored,
     text_bytes,
@@ -122,9 +123,11 @@ def log_ratios(target: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING
     return np.log(target + smoothing) - np.log(expected + smoothing)
 
 
-def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """Adds ``log_weight``: the sum of the log ratios over a document's n-grams (0 without any), and ``n_grams``."""
+def weigh(docs: DataFrame, ratios: np.ndarray, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns of ``carry``, ``log_weight``: the sum of the log ratios over a document's n-grams
+    (0 without any), and ``n_grams``."""
     buckets = len(ratios)
+    passed = ("doc_id", *(c for c in carry if c != "doc_id"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,11 +136,11 @@ def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
                 sums = np.bincount(rows, ratios[found], minlength=part.num_rows)
                 n = np.bincount(rows, minlength=part.num_rows)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sums), pa.array(n)], ["doc_id", "log_weight", "n_grams"]
+                    [*(part.column(c) for c in passed), pa.array(sums), pa.array(n)], [*passed, "log_weight", "n_grams"]
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind}, log_weight double, n_grams long")
+    given = docs.select(*dict.fromkeys(("doc_id", "text", *passed)))
+    return given.mapInArrow(score, f"{schema_of(docs, *passed)}, log_weight double, n_grams long")
 
 
 def kth_largest(keys: DataFrame, column: str, k: int, bins: int = 4096) -> float | None:
@@ -171,10 +174,13 @@ def kth_largest(keys: DataFrame, column: str, k: int, bins: int = 4096) -> float
     return lo
 
 
-def resample(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, keep: int | None = None) -> DataFrame:
+def resample(
+    docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, keep: int | None = None, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Importance resampling of ``docs`` (doc_id, text) towards ``target`` (text).
 
-    Returns doc_id, n_grams, log_weight, gumbel_key, kept; one row per row of ``docs``.
+    Returns doc_id, n_grams, log_weight, gumbel_key, kept; one row per row of ``docs``, with the
+    columns of ``docs`` named in ``carry``, which spares a join when the rows are wanted whole.
     ``keep`` is k; by default the number of rows at least as likely under the target model as
     under the raw model, times ``WORTH``.  A NULL text is empty, an
     empty text has weight 0.  Rows of equal id and text share their key, and rows tied
@@ -184,7 +190,7 @@ def resample(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, keep: i
     good = gram_counts(target, buckets)
     ratios = log_ratios(good, raw) if good.sum() else np.zeros(buckets)
     uniform = unit_hash("doc_id")
-    weighed = weigh(docs, ratios).withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform)))
+    weighed = weigh(docs, ratios, carry).withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(uniform)))
     weighed = stored(weighed, "quality-keys")
     k = keep if keep is not None else weighed.where(F.col("log_weight") >= math.log(WORTH)).count()
     least = kth_largest(weighed, "gumbel_key", k)
@@ -192,6 +198,9 @@ def resample(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, keep: i
 
 
 def labelled_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of the rows that a label calls good."""
-    good = labels.where("quality = 1").select("doc_id").distinct()
+    """Texts of the rows that a label calls good.
+
+    Their ids are written first: Spark's own size check then sees them and moves no text where they are few.
+    """
+    good = stored(labels.where("quality = 1").select("doc_id").distinct(), "good-ids")
     return docs.join(good, "doc_id", "left_semi").select("text")
