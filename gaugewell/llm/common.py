@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 2 * SLICE_BYTES) -> Iterator[None]:
+    """Jobs inside hand Python at most about ``most`` bytes at a time (one row at least); the setting is put back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -64,19 +78,20 @@ BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
-@cache
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """B^i and B^-i for i < n."""
     def row(b: int) -> np.ndarray:
         steps = np.full(n, b, np.uint64)
         steps[0] = 1
-        return np.cumprod(steps, dtype=np.uint64)
+        return np.cumprod(steps, dtype=np.uint64, out=steps)
 
     return row(BASE), row(_BASE_INVERSE)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(max(1 << 16, 1 << int(n).bit_length()))
+    """At least ``n`` powers; only those of a full slice are kept, longer rows of them live as long as their text."""
+    return _powers(2 * SLICE_BYTES) if n <= 2 * SLICE_BYTES else _powers.__wrapped__(n)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -214,7 +214,7 @@ def _compared(rows: DataFrame, node_kind: str, similarity: float, size: int) ->
             return found
 
         key, group, out = None, [], []
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             names = ("band", "low", "high", "block", "node", "comp", "bands", "text")
             for band, low, high, block, *row in zip(*(batch.column(n).to_pylist() for n in names)):
                 if (band, low, high) != key:
@@ -239,7 +239,7 @@ def _star_links(stars: DataFrame, texts: DataFrame, node_kind: str, similarity:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, bags_of_lead, out = None, [], []
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             for lead, salt, part, node, text in zip(*(batch.column(n).to_pylist() for n in ("lead", "salt", "part", "node", "text"))):
                 if (lead, salt) != key:
                     key, bags_of_lead = (lead, salt), []
