@@ -121,6 +121,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
 
 
+def _of_row(keyed: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows of a keyed frame with what was found for their id and key; a NULL id is a value like others."""
+    found = found.withColumnsRenamed({"doc_id": "found_id", "key": "found_key"})
+    same = keyed["doc_id"].eqNullSafe(found["found_id"]) & (keyed["key"] == found["found_key"])
+    return keyed.join(found, same, how).drop("found_id", "found_key")
+
+
 class SuffixIndex:
     """Levels of sorted suffix fingerprints; ``add`` scans a batch against all levels and then takes it in.
 
@@ -175,7 +182,7 @@ def _string_hashes(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     """core, back (anchor's offset in a string), string (hash), and where: every string of the given runs."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     lists = runs.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "back", "fore", "core")).alias("runs"))
-    joined = _keyed(docs).join(lists.hint("shuffle_hash"), ["doc_id", "key"])
+    joined = _of_row(_keyed(docs), lists.hint("shuffle_hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,7 +230,7 @@ def _stretch_spans(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     lists = runs.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "back", "fore", "core")).alias("runs"))
-    joined = _keyed(docs).join(lists.hint("shuffle_hash"), ["doc_id", "key"]).select("doc_id", "key", "text", F.explode("runs").alias("r"))
+    joined = _of_row(_keyed(docs), lists.hint("shuffle_hash")).select("doc_id", "key", "text", F.explode("runs").alias("r"))
     lo = F.col("r.at") - F.col("r.back")
     cut = F.substring(F.encode("text", "UTF-8"), (lo + 1).cast("int"), F.col("r.fore") + length)
     rows = joined.select("doc_id", "key", lo.alias("lo"), "r.back", "r.core", cut.alias("stretch"))
@@ -321,14 +328,14 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES)
 
     doc_id, n_bytes, removed array<struct<lo, hi>> (bytes), kept (binary); one row per row
     of ``docs``.  Texts are their UTF-8 bytes, NULL is empty; texts shorter than
-    ``length`` lose nothing; rows of equal id are texts of their own, so equal rows lose
-    all they have.  Touching ranges are one.
+    ``length`` lose nothing; rows of equal id, or of none, are texts of their own, so equal
+    rows lose all they have.  Touching ranges are one.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     spans = repeated_spans(docs, length, batches)
     # runs of neighbouring starts first, so that a text's list has one entry per stretch
     lists = spans.distinct().groupBy("doc_id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    joined = _keyed(docs).join(lists, ["doc_id", "key"], "left").select("doc_id", "text", "spans")
+    joined = _of_row(_keyed(docs), lists, "left").select("doc_id", "text", "spans")
     removed_type = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -107,6 +107,23 @@ def test_suffix_dedup(spark, docs, monkeypatch):
     assert suffix_dedup.drop_repeats(empty(spark)).count() == 0
 
 
+def test_suffix_dedup_without_ids(spark, monkeypatch):
+    length, rng = 100, random.Random(11)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    # 1 and 2 share only a part with the rows without an id, whose class of equal stretches has several members
+    rows = [(None, a + b), (None, a + b), (None, "head " + c), (1, c + " tail"), (2, b[40:] + prose(rng, 40)), (3, prose(rng, 60)), (0, a[:150])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = [(i, t.encode()) for i, t in rows]
+    seen = Counter(t[i : i + length] for _, t in texts for i in range(len(t) - length + 1))
+    want = Counter()
+    for doc_id, t in texts:
+        gone = {j for i in range(len(t) - length + 1) if seen[t[i : i + length]] > 1 for j in range(i, i + length)}
+        want[doc_id, bytes(x for j, x in enumerate(t) if j not in gone)] += 1
+    for together in (4096, 1):
+        monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
+        assert Counter((r.doc_id, bytes(r.kept)) for r in suffix_dedup.drop_repeats(docs, length).collect()) == want
+
+
 def test_near_minhash(spark, docs):
     rows = near_minhash.near_duplicates(docs).collect()
     assert len(rows) == len(odd_docs())
