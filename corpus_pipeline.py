@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +12,8 @@ from gaugewell.llm.queries import tokenizer_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: No SQL: hashed models, signatures, suffix arrays and tokenizers have none; tests hold the stages against brute force.
 ORACLE_SQL = None
+#: Words of the shortest passage that the repeats stage takes out: over 50.
+PASSAGE = 51
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,17 +36,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their repeated strings, in whole characters; a text with nothing left goes."""
-    found = suffix_dedup.drop_repeats(docs.withColumn("doc_id", F.struct(*[c for c in COLUMNS if c != "text"])))
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [b.as_py().decode("utf-8", "ignore") for b in batch.column("kept")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("cut")], ["doc_id", "text", "cut"])
-
-    kind = found.schema["doc_id"].dataType.simpleString()
-    texts = found.select("doc_id", "kept", (F.size("removed") > 0).alias("cut")).mapInArrow(decode, f"doc_id {kind}, text string, cut boolean")
-    left = texts.where("not cut or length(trim(text)) > 0")
+    """Texts without the passages of ``PASSAGE`` words or more that recur; a text with nothing left goes."""
+    keyed = docs.withColumn("doc_id", F.struct(*[c for c in COLUMNS if c != "text"]))
+    left = stored(suffix_dedup.drop_repeated_words(keyed, PASSAGE), "repeats-left").where("not cut or length(trim(text)) > 0")
     return left.select("doc_id.doc_id", "text", "doc_id.lang", "doc_id.source", F.length("text").cast("long").alias("n_chars"))
 
 

@@ -118,7 +118,8 @@ def suffixes(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> D
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
+    key = F.col("key") if "key" in docs.columns else F.xxhash64("doc_id", "text")
+    return docs.select("doc_id", "text", key.alias("key"))
 
 
 def _of_row(keyed: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
@@ -232,7 +233,8 @@ def _stretch_spans(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     lists = runs.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "back", "fore", "core")).alias("runs"))
     joined = _of_row(_keyed(docs), lists.hint("shuffle_hash")).select("doc_id", "key", "text", F.explode("runs").alias("r"))
     lo = F.col("r.at") - F.col("r.back")
-    cut = F.substring(F.encode("text", "UTF-8"), (lo + 1).cast("int"), F.col("r.fore") + length)
+    text = F.col("text") if docs.schema["text"].dataType.typeName() == "binary" else F.encode("text", "UTF-8")
+    cut = F.substring(text, (lo + 1).cast("int"), F.col("r.fore") + length)
     rows = joined.select("doc_id", "key", lo.alias("lo"), "r.back", "r.core", cut.alias("stretch"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,5 +363,95 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES)
     return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, removed array<struct<lo:long,hi:long>>, kept binary")
 
 
+# --- runs of words -------------------------------------------------------------------------
+
+#: Bytes that stand for a word: its hash.
+CODE = 8
+
+
+def _spaces(data: np.ndarray) -> np.ndarray:
+    """Whether each byte is white space or part of it: that of ASCII, U+0085, U+00A0, U+2000 to U+200A, 2028, 2029, 202F, 205F, 3000."""
+    space = ((data >= 9) & (data <= 13)) | ((data >= 28) & (data <= 32))
+    if len(data) < 2 or data.max() < 0xC2:
+        return space
+    one = np.append(data[1:], np.uint8(0))
+    two = np.append(data[2:], np.zeros(2, np.uint8))
+    pair = (data == 0xC2) & ((one == 0x85) | (one == 0xA0))
+    punctuation = (data == 0xE2) & (one == 0x80) & ((two >= 0x80) & (two <= 0x8A) | np.isin(two, (0xA8, 0xA9, 0xAF)))
+    triple = punctuation | (data == 0xE2) & (one == 0x81) & (two == 0x9F) | (data == 0xE3) & (one == 0x80) & (two == 0x80)
+    for width, at in ((2, np.flatnonzero(pair)), (3, np.flatnonzero(triple))):
+        for i in range(width):
+            space[at + i] = True
+    return space
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of all rows, and the number of the first word of each row, and one more.
+
+    A word is what lies between white space; kana and ideographs, which are written without it, are words each.
+    """
+    n = len(data)
+    member = ~_spaces(data)
+    one = np.append(data[1:], np.uint8(0))[:n]
+    sign = np.flatnonzero((data >= 0xE4) & (data <= 0xE9) | (data == 0xE3) & (one >= 0x81))
+    first = np.zeros(n + 3, bool)
+    first[offsets] = first[sign] = first[sign + 3] = True
+    before = np.concatenate(([False], member[:-1]))[:n]
+    after = np.concatenate((member[1:], [False]))[:n]
+    starts = np.flatnonzero(member & (~before | first[:n]))
+    ends = np.flatnonzero(member & (~after | first[1 : n + 1])) + 1
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def _coded(docs: DataFrame) -> DataFrame:
+    """doc_id, key (of the text), text: in its place the hashes of its words one after another, as bytes."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                data, offsets = text_bytes(part.column("text"))
+                starts, ends, first = words(data, offsets)
+                codes = RangeHash(data)(starts, ends).tobytes()
+                column = pa.array([codes[a * CODE : b * CODE] for a, b in zip(first[:-1].tolist(), first[1:].tolist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), column, part.column("key")], ["doc_id", "text", "key"])
+
+    return _keyed(docs).mapInArrow(run, f"doc_id {kind}, text binary, key long")
+
+
+def drop_repeated_words(docs: DataFrame, n_words: int, batches: int = BATCHES) -> DataFrame:
+    """Take out every word covered by a run of ``n_words`` words that also starts elsewhere.
+
+    doc_id, text, cut (whether anything was taken); one row per row of ``docs``.  Words are
+    equal byte for byte, whatever white space lies between them; that around a run stays.
+    NULL is empty; rows of equal id, or of none, are texts of their own.
+
+    A word is its hash here, so runs of words are strings of bytes of one length.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    length = n_words * CODE
+    spans = repeated_spans(_coded(docs), length, batches)
+    lists = spans.distinct().groupBy("doc_id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    joined = _of_row(_keyed(docs), lists, "left").select("doc_id", "text", "spans")
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for part in slices(batch, "text"):
+                data, offsets = text_bytes(part.column("text"))
+                starts, ends, first = words(data, offsets)
+                whole = data.tobytes()
+                texts, cut = [], []
+                for i, found in enumerate(part.column("spans").to_pylist()):
+                    left, at = [], offsets[i]
+                    for lo, hi in _covered([s["lo"] for s in found], [s["hi"] for s in found], length) if found else []:
+                        left.append(whole[at : starts[first[i] - -lo // CODE]])
+                        at = ends[first[i] + hi // CODE - 1]
+                    cut.append(bool(left))
+                    texts.append(b"".join([*left, whole[at : offsets[i + 1]]]).decode())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.string()), pa.array(cut)], ["doc_id", "text", "cut"])
+
+    return joined.mapInArrow(run, f"doc_id {kind}, text string, cut boolean")
+
+
 def digest(kept: bytes) -> str:
     return sha256(kept).hexdigest()
