@@ -3,8 +3,9 @@
 Each page's containers are scored: text of their own paragraphs against link text.  A
 container's *path* is its chain of tags with classes, numbers in classes generalised.
 Pages vote with their scores for paths, per host, in Spark; each page is then extracted
-again by the best path of its host that it has.  Hosts lay out their pages alike, so a
-page with little text still gets the right container.
+again by the best path of its host that it has, from where it climbs to the container of
+all text that is no noise.  Hosts lay out their pages alike, so a page with little text
+still gets the right container.
 """
 
 from __future__ import annotations
@@ -190,6 +191,27 @@ def scores(found: list[tuple[tuple[str, ...], str, bool]]) -> dict[str, float]:
     return total
 
 
+def main_text(found: list[tuple[tuple[str, ...], str, bool]], path: str) -> tuple[list[str], str | None]:
+    """A page's main text, given a container of it: its blocks, and the path of the container that holds them all.
+
+    That is the innermost one around ``path`` with all text that is no link text, of the
+    outermost article or main around ``path`` if there is one, else of the page (no path
+    where no container holds it).  Boxes of links alone stay out unless they lie in ``path``.
+    """
+    chain = next(around for around, _, _ in found if path in around)
+    chain = chain[: chain.index(path) + 1]
+    named = [i for i, p in enumerate(chain) if p.rpartition(">")[2].partition(".")[0] in ("article", "main")]
+    outer = [None, *chain] if not named else chain[named[0] :]
+    inside = [b for b in found if outer[0] is None or outer[0] in b[0]]
+    prose = [around for around, _, is_link in inside if not is_link]
+    whole = next((p for p in reversed(outer) if p is not None and all(p in around for around in prose)), outer[0])
+    boxes = {around[-1:] for around in prose}
+    return [
+        text for around, text, is_link in inside
+        if path in around or (whole is None or whole in around) and (not is_link or around[-1:] in boxes)
+    ], whole
+
+
 def _host():
     return F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
@@ -226,7 +248,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, path; one row per row of ``pages`` (page_id, url, html).
 
     Main text by the best of the host's winning paths that the page has, by the page's own
-    best container if it has none.  A page without any container is its blocks, with a NULL
+    best container if it has none, and by the containers around it that hold the rest of the
+    text (:func:`main_text`); ``path`` is the outermost one taken.  A page without any container is its blocks, with a NULL
     path.  Blocks are joined by line ends.  NULL or empty html gives the empty text and a
     NULL path; a NULL url is the host ''.
     """
@@ -245,7 +268,10 @@ def extract(pages: DataFrame) -> DataFrame:
                     if path is None and has:
                         own = scores(found)
                         path = max(own, key=lambda p: (own[p], p))
-                    texts.append("\n".join(text for around, text, _ in found if path is None or path in around))
+                    main = [text for _, text, _ in found]
+                    if path is not None:
+                        main, path = main_text(found, path)
+                    texts.append("\n".join(main))
                     used.append(path)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(used, pa.string())],

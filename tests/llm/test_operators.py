@@ -277,3 +277,19 @@ def test_html(spark):
     got = [(r.page_id, r.text) for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()]
     article = "Head & line\nFirst text more\nSecond text"
     assert Counter(got) == Counter([(1, article), (1, article), (2, ""), (3, ""), (4, "plain text")])
+
+
+def test_html_article_in_unequal_boxes(spark):
+    lead, body = "Lead words of it. " * 3, "Body words of it. " * 7
+    boxes = f"<div class=lead><p>{lead}</p></div><div class=body><p>{body}</p><p><a href=x>source</a></p></div>"
+    menu = "<nav><a href=x>menu</a></nav><div class=sidebar>side</div><div class=links><a href=y>more pages</a></div>"
+    pages = [
+        f"<html><body>{menu}<div class=post>{boxes}</div><footer>end</footer></body></html>",
+        f"<html><body>{menu}<div class=teaser>other</div><article><div class=a><div class=b>{boxes}</div></div><p>Last</p></article></body></html>",
+        boxes,
+    ]
+    rows = [(i, f"http://h{i % 3}.example/{i}", pages[i % 3]) for i in range(9)]
+    want = "\n".join(" ".join(x.split()) for x in (lead, body, "source"))
+    for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        assert r.text == want + "\nLast" * (r.page_id % 3 == 1)
+        assert r.path == ["html>body>div.post", "html>body>article", None][r.page_id % 3]
