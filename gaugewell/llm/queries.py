@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from gaugewell.llm import (
     chat,
     decontaminate,
+    exact_dedup,
+    hard_negatives,
     html_extract,
     licenses,
     near_embeddings,
     near_minhash,
     packing,
     quality,
+    spelling,
     suffix_dedup,
     toxicity,
 )
@@ -107,6 +110,20 @@ def op10_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(docs, quality.labelled_target(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -116,10 +133,49 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_packing, op2_toxicity, op3_chat_format, op4_suffix_dedup, op5_near_embeddings,
-        op6_near_minhash, op7_html_extract, op8_license_scan, op9_decontaminate, op10_quality_resample, pipeline,
+        op6_near_minhash, op7_html_extract, op8_license_scan, op9_decontaminate, op10_quality_resample, op11_exact_dedup,
+        op12_hard_negatives, op13_spelling_groups, pipeline,
     )
     return {f.__name__: f for f in found}
 
 
+#: Equal texts after white space is folded, by their text.
+EXACT_DEDUP_SQL = r"""
+WITH t AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
+)
+SELECT doc_id,
+       min(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST) = 1 AS kept,
+       sha256(body) AS text_sha256
+FROM t WINDOW same AS (PARTITION BY body)
+"""
+
+#: Every anchor against every row.
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x, row_number() OVER () AS r
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r AS other, b.vec_id, a.label = b.label AS same,
+           list_dot_product(a.x, b.x)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r
+), positive AS (
+    SELECT * FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.vec_id)::INTEGER AS "rank",
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n
+  ON n.anchor = p.anchor AND NOT n.same AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+QUALIFY "rank" <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_exact_dedup": EXACT_DEDUP_SQL, "op12_hard_negatives": HARD_NEGATIVES_SQL}
