@@ -82,7 +82,8 @@ def merged(entries: DataFrame) -> DataFrame:
                 new[1:] |= differs.to_numpy(zero_copy_only=False)
             first = np.flatnonzero(new)
             counts = np.add.reduceat(batch.column("n").to_numpy(), first)
-            found = batch.take(pa.array(first)).set_column(batch.schema.get_field_index("n"), "n", pa.array(counts))
+            found = batch.take(pa.array(first))
+            found = found.set_column(found.schema.get_field_index("n"), found.schema.field("n"), pa.array(counts))
             yield found.slice(0, len(first) - 1)
             open_entry = found.slice(len(first) - 1)
         if open_entry is not None:

@@ -52,6 +52,18 @@ def test_rounds_meet_all_digits():
         assert 2 <= base <= exact_dedup.FAN_IN and base**rounds >= parts and base ** (rounds - 1) < parts
 
 
+def test_runs_of_many_batches(spark):
+    rows = [(i, f"text {i % 40}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        held(exact_dedup.exact_groups(docs), rows)
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_a_round_merges_a_common_text_to_a_few_entries(spark):
     docs = spark.range(1000).selectExpr("id AS doc_id", "'same' AS text").repartition(16)
     rows = exact_dedup.digests(docs, 16)
