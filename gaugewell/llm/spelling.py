@@ -31,7 +31,7 @@ LEAST = 5
 RATIO = 5
 NOISE = 199
 #: Words of a key that one task takes on either side.
-BLOCK = 16_384
+BLOCK = 4096
 #: Groups of letters that cut a task's words.
 FINE = 8
 #: Letters by how common they are in European texts; they are dealt to groups in this order.
