@@ -36,7 +36,7 @@ LITERALS = (
     "12 Main St", "350 5th Ave.", "7 East High", "12  Main St",
 )
 
-# Neighbourhood names the registered queries pass as the parameter.
+# Names of neighbourhoods among the literals; see :func:`neighbourhoods`.
 NEIGHBOURHOODS = ("astoria", "soho", "randall's island", "harlem", "inwood")
 
 RULE_NAMES = (
@@ -59,9 +59,8 @@ REQUEST_COLUMNS = RequestColumns(
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A test table; ``spread`` for work that outweighs one more shuffle of a small one."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    return sources.spread(df, path) if spread else df
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return sources.spread(df) if spread else df
 
 
 def cycle(values: tuple, number: Column) -> Column:
@@ -101,6 +100,13 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of names to look cells up in: a few of the literals, nations, and every name of a part."""
+    few = spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in NEIGHBOURHOODS])).alias("name"))
+    nations = table(spark, sf_dir, "nation").select("n_name")
+    return few.unionAll(nations).unionAll(table(spark, sf_dir, "part").select("p_name"))
+
+
 def literal_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One detector literal (or NULL) per customer, as column ``literal``."""
     return table(spark, sf_dir, "customer").select(
@@ -178,3 +184,18 @@ def display_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").where("toxic = 1").selectExpr("concat('d', doc_id) AS dataset_id")
+
+
+def number_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as cells of column files whose numbers are written in several ways: (file_name, value)."""
+    orders = table(spark, sf_dir, "orders")
+    columns = {
+        "d1.padded.1.2": "lpad(o_orderkey, 12, '0')",
+        "d1.large.1.2": "concat('+', 3000000000 + o_orderkey)",
+        "d1.mixed.1.2": "CASE o_orderkey % 4 WHEN 0 THEN '007' WHEN 1 THEN '40.710' WHEN 2 THEN '12' END",
+        "d1.flag.1.2": "CASE WHEN o_orderkey % 2 = 0 THEN 'TRUE' ELSE 'False' END",
+        "d1.day.1.2": "date_format(o_orderdate, 'yyyy-MM-dd')",
+        "d1.almost.1.2": "CASE WHEN o_orderkey % 97 = 1 THEN 'none' ELSE concat('0', o_custkey) END",
+    }
+    parts = [orders.select(F.lit(name).alias("file_name"), F.expr(cell).alias("value")) for name, cell in columns.items()]
+    return reduce(DataFrame.unionAll, parts)

@@ -136,9 +136,11 @@ def _ranking(relation: str, name: str, order: str, k: int = 5) -> str:
     )
 
 
-FREQUENT_ORDER = "n DESC, value"
-SHORTEST_ORDER = "length(value), value"
-LONGEST_ORDER = "length(value) DESC, value"
+# Values that agree in their first 64 characters go by length and digest.
+BY_VALUE = "left(value, 64), length(value), md5(value)"
+FREQUENT_ORDER = f"n DESC, {BY_VALUE}"
+SHORTEST_ORDER = f"length(value), {BY_VALUE}"
+LONGEST_ORDER = f"length(value) DESC, {BY_VALUE}"
 
 
 def _rankings(relation: str, columns, order: str, text_only: bool) -> str:
@@ -151,7 +153,7 @@ def _list(relation: str, name: str, order: str) -> str:
     return f"(SELECT string_agg(value, '|' ORDER BY rank) FROM ({_ranking(relation, name, order)}))"
 
 
-def _profile(relation: str, columns, shown: dict[str, str] | None = None) -> str:
+def _profile(relation: str, columns, shown: dict[str, str] | None = None, lead: str = "") -> str:
     parts = []
     for name, kind in columns:
         label = (shown or {}).get(name, name)
@@ -176,7 +178,7 @@ def _profile(relation: str, columns, shown: dict[str, str] | None = None) -> str
                     f"{_list(relation, name, LONGEST_ORDER)} AS longest_values"
                 )
             parts.append(
-                f"""SELECT '{label}' AS column_name, number_non_empty_cells, number_empty_cells,
+                f"""SELECT {lead}'{label}' AS column_name, number_non_empty_cells, number_empty_cells,
   (SELECT count(DISTINCT "{name}") FROM ({relation})) AS number_distinct_values,
   {_list(relation, name, FREQUENT_ORDER)} AS frequent_values,
   '{kind_label}' AS type, {count} AS count, {hi}::varchar AS max_value, {real_hi}::double AS real_max_value,
@@ -187,47 +189,44 @@ FROM ({scalar}) WHERE {count} IS NOT NULL"""
     return "\nUNION ALL ".join(parts)
 
 
-def _union_profiles() -> str:
-    tables = {
-        "mixed": (MIXED, MIXED_COLUMNS),
-        "customer": (
-            "SELECT * FROM customer",
-            (("c_custkey", "int"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
-             ("c_mktsegment", "string")),
-        ),
-        "part": (
-            "SELECT * FROM part",
-            (("p_partkey", "int"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"),
-             ("p_size", "int"), ("p_retailprice", "double")),
-        ),
-    }
-    parts = []
-    for dataset, (relation, columns) in tables.items():
-        for name, kind in columns:
-            scalar = _scalar(relation, [(name, kind)], ", ".join((FILL, INTEGER, REAL, DATE)))
-            parts.append(
-                f"""SELECT '{dataset}' AS dataset_id, column_name, number_non_empty_cells,
-  (SELECT count(DISTINCT "{name}") FROM ({relation})) AS number_distinct_values,
-  integer_count, real_mean, date_count, {_list(relation, name, FREQUENT_ORDER)} AS frequent_values
-FROM ({scalar})"""
-            )
-    return "\nUNION ALL ".join(parts)
+CUSTOMER_COLUMNS = (
+    ("c_custkey", "int"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
+    ("c_mktsegment", "string"),
+)
+PART_COLUMNS = (
+    ("p_partkey", "int"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"),
+    ("p_size", "int"), ("p_retailprice", "double"),
+)
+DATASETS = {
+    "mixed": (MIXED, MIXED_COLUMNS),
+    "customer": ("SELECT * FROM customer", CUSTOMER_COLUMNS),
+    "empty": ("SELECT * FROM customer WHERE false", CUSTOMER_COLUMNS),
+    "part": ("SELECT * FROM part", PART_COLUMNS),
+}
+
+
+def _union_profiles(*datasets: str) -> str:
+    return "\nUNION ALL ".join(_profile(*DATASETS[d], lead=f"'{d}' AS dataset_id, ") for d in datasets)
 
 
 def _ranked_documents() -> str:
     orders = {"frequent": FREQUENT_ORDER, "shortest": SHORTEST_ORDER, "longest": LONGEST_ORDER}
+    kinds = {"doc_id": "int", "text": "string", "lang": "string", "source": "string", "n_chars": "int"}
     return "\nUNION ALL ".join(
         f"SELECT column_name, '{ranking}' AS ranking, rank, md5(value) AS digest, length(value) AS chars, n "
         f"FROM ({_ranking('SELECT * FROM documents', name, order)})"
-        for name in ("text", "lang", "source")
+        for name, kind in kinds.items()
         for ranking, order in orders.items()
+        if kind == "string" or ranking == "frequent"
     )
 
 
-def _profile_json() -> str:
-    return (
-        "SELECT 'orders' AS dataset_name, column_name, number_non_empty_cells, number_empty_cells, type, count, mean "
-        f"FROM ({_profile(MIXED, MIXED_COLUMNS)})"
+def _native_dates() -> str:
+    columns = {"lineitem": "l_shipdate", "orders": "o_orderdate"}
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS dataset_id, '{c}' AS column_name, count({c}) AS date_count, "
+        f"max({c}::date) AS date_max_value, min({c}::date) AS date_min_value FROM {table}"
+        for table, c in columns.items()
     )
 
 
@@ -269,7 +268,8 @@ PREDICATES = {
     + ")",
     "business_name": _any_word(V.BUSINESS_NAME_WORDS),
     "subject_in_school": _in("lower(value)", V.SUBJECTS),
-    "neighbourhood": _in("lower(value)", I.NEIGHBOURHOODS),
+    "neighbourhood": "lower(value) IN (SELECT lower(n_name) FROM nation UNION ALL SELECT lower(p_name) FROM part "
+    f"UNION ALL SELECT unnest([{', '.join(_text(n) for n in I.NEIGHBOURHOODS)}]))",
     "city_agency": _any_word(V.CITY_AGENCY_WORDS),
     "school_level": _any_word(V.SCHOOL_LEVEL_WORDS),
     "building_classification": _matches("value", D.BUILDING_CLASSIFICATION),
@@ -357,10 +357,16 @@ def _table_cells() -> str:
     return " UNION ALL ".join(parts)
 
 
-# An empty cell of a one-column file is a blank line, which CSV readers pass over.
-FILE_CELLS = f"""
-SELECT concat('d1.', column_name, '.1.2') AS file_name, column_name, value FROM ({DETECTOR_CELLS})
-WHERE value IS NOT NULL AND column_name IN ('literal', 'url', 'part_name')"""
+FILE_CELLS = f"SELECT concat('d1.', column_name, '.1.2') AS file_name, column_name, value FROM ({DETECTOR_CELLS})"
+
+# Cells as their files' types print them; where one cell is no number all stay as written.
+NUMBER_CELLS = """
+SELECT 'd1.padded.1.2' AS file_name, o_orderkey::varchar AS value FROM orders
+UNION ALL SELECT 'd1.large.1.2', (3000000000 + o_orderkey)::varchar FROM orders
+UNION ALL SELECT 'd1.mixed.1.2', ['7.0', '40.71', '12.0', NULL][o_orderkey % 4 + 1] FROM orders
+UNION ALL SELECT 'd1.flag.1.2', CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END FROM orders
+UNION ALL SELECT 'd1.day.1.2', o_orderdate::date::varchar FROM orders
+UNION ALL SELECT 'd1.almost.1.2', CASE WHEN o_orderkey % 97 = 1 THEN 'none' ELSE concat('0', o_custkey) END FROM orders"""
 
 
 def _fixed_vocabulary() -> str:
@@ -418,18 +424,23 @@ def oracle_sql() -> dict[str, str]:
         "gp_dotted_column": _profile(MIXED, MIXED_COLUMNS, {"name": "na.me"}),
         "gp_profile": _profile(MIXED, MIXED_COLUMNS),
         "gp_profile_lineitem": _profile("SELECT * FROM lineitem", LINEITEM_COLUMNS),
-        "so_union_profiles": _union_profiles(),
+        "gp_native_dates": _native_dates(),
+        "so_union_profiles": _union_profiles("mixed", "customer", "empty", "part"),
         "src_tsv_header": REQUESTS,
         "src_tsv_headerless": "SELECT concat('p', p_partkey) AS id, p_name AS name FROM part",
         "src_column_files": FILE_CELLS,
-        "src_file_listing": "SELECT o_orderstatus AS status, count(*) > 0 AS has_bytes FROM orders GROUP BY 1",
+        "src_column_files_inferred": NUMBER_CELLS,
+        "src_staged_tables": _union_profiles("mixed", "customer", "part"),
+        "src_file_listing": "SELECT o_orderstatus AS status, "
+        "sum(strlen(concat_ws(',', o_orderkey, o_orderpriority)) + 1)::bigint AS bytes FROM orders GROUP BY 1",
         "src_manifest": """SELECT row_number() OVER (ORDER BY name) - 1 AS pos, name AS file_name,
   CASE WHEN p_size > 1 THEN concat('ds', p_size) END AS dataset_id,
   CASE WHEN p_size > 1 THEN brand END AS column_name, p_size > 1 AS valid
 FROM (SELECT DISTINCT p_size, replace(p_brand, '#', '_') AS brand,
   concat_ws('.', concat('ds', p_size), replace(p_brand, '#', '_'), '1', CASE WHEN p_size > 1 THEN '2' END) AS name
   FROM part)""",
-        "snk_profile_json": _profile_json(),
+        "snk_profile_json": _profile(MIXED, MIXED_COLUMNS, lead="'orders' AS dataset_name, "),
+        "snk_profiles_written_twice": _union_profiles("customer", "part"),
         "snk_semantic_json": _types(_long_counts(RULE_CELLS, _standard())),
         "snk_csv": f"SELECT borough, complaint_type, n FROM ({_top('complaint_type', 3)})",
         "snk_csv_single": _daily(),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gaugewell.checks import inputs as I
 from gaugewell.functions import detectors as D
-from gaugewell.operators.cells import to_cells
+from gaugewell.operators.cells import to_cells, union_cells
 from gaugewell.operators.ranks import FREQUENT, LONGEST, SHORTEST, distinct_counts, ranked_values
 from gaugewell.operators.sample import pilot_sample
 from gaugewell.operators.scalars import SECTIONS, scalar_metrics
@@ -68,7 +68,7 @@ def _ranked(ranking: str) -> Query:
 
 def _ranked_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Rankings over whole texts, shown by digest."""
-    cells = to_cells(I.table(spark, sf, "documents", spread=True).select("text", "lang", "source"))
+    cells = to_cells(I.table(spark, sf, "documents", spread=True))
     return ranked_values(cells).select(
         cells.name_of(F.col("col_id")).alias("column_name"),
         "ranking",
@@ -103,9 +103,15 @@ def _distinct_approx(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flat_profile(metrics: DataFrame) -> DataFrame:
-    """Profile structs as one row per column and section."""
-    entry = profile.column_profiles(metrics).select("profile.*")
+    """Profile structs as one row per column and section, of each dataset where there are several."""
+    lead = [c for c in ("dataset_id",) if c in metrics.columns]
+    return flat_columns(profile.column_profiles(metrics).select(*lead, "profile.*"), *lead)
+
+
+def flat_columns(entry: DataFrame, *lead: str) -> DataFrame:
+    """Column profiles as one row per column and section."""
     rows = entry.select(
+        *lead,
         "column_name",
         "number_non_empty_cells",
         "number_empty_cells",
@@ -123,6 +129,7 @@ def flat_profile(metrics: DataFrame) -> DataFrame:
 
     return _rounded(
         rows.select(
+            *lead,
             "column_name",
             "number_non_empty_cells",
             "number_empty_cells",
@@ -149,20 +156,20 @@ def _union_profiles(spark: SparkSession, sf: str) -> DataFrame:
     tables = {
         "mixed": I.mixed_orders(spark, sf),
         "customer": I.table(spark, sf, "customer"),
+        "empty": I.table(spark, sf, "customer").where("false"),
         "part": I.table(spark, sf, "part"),
     }
-    metrics = profile.dataset_metrics(tables)
-    return _rounded(
-        metrics.select(
-            "dataset_id",
-            "column_name",
-            "number_non_empty_cells",
-            "number_distinct_values",
-            "integer_count",
-            "real_mean",
-            "date_count",
-            F.array_join("frequent_values", "|").alias("frequent_values"),
-        )
+    return flat_profile(profile.dataset_metrics(tables))
+
+
+def _native_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """The date section of tables whose dates are dates."""
+    tables = {name: I.table(spark, sf, name) for name in ("lineitem", "orders")}
+    cells = union_cells(tables)
+    metrics = scalar_metrics(cells, ("date",), native_dates=True).where("date_count IS NOT NULL")
+    column = F.col("col_id")
+    return metrics.select(
+        cells.dataset_of(column).alias("dataset_id"), cells.name_of(column).alias("column_name"), "date_count", "date_max_value", "date_min_value"
     )
 
 
@@ -187,16 +194,30 @@ def _tsv_headerless(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _column_file_cells(spark: SparkSession, sf: str) -> DataFrame:
-    """Three columns written as column files and read back together."""
-    base = scratch_path(spark, "columns")
+    """All columns of detector cells written as column files and read back together."""
+    path = scratch_path(spark, "columns")
     cells = I.detector_cells(spark, sf)
-    paths = []
-    for name in ("literal", "url", "part_name"):
-        path = f"{base}/d1.{name}.1.2"
-        one = cells.where(F.col("column_name") == name).select("value")
-        one.write.option("sep", sources.TAB).option("ignoreTrailingWhiteSpace", False).csv(path)
-        paths.append(path)
-    return sources.read_column_files(spark, paths)
+    sinks.write_column_files(cells.select(F.format_string("d1.%s.1.2", "column_name").alias("file_name"), "value"), path)
+    return sources.read_column_files(spark, path, escaped=True)
+
+
+def _inferred_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Column files typed first, so that their cells are printed anew."""
+    path = scratch_path(spark, "numbers")
+    sinks.write_column_files(I.number_files(spark, sf), path)
+    return sources.read_column_files(spark, path, infer=True)
+
+
+def _staged_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables written as gzip files with a header, staged and typed together, then profiled."""
+    base = scratch_path(spark, "tables")
+    tables = {"mixed": I.mixed_orders(spark, sf), "customer": I.table(spark, sf, "customer"), "part": I.table(spark, sf, "part")}
+    paths = {}
+    for name, df in tables.items():
+        paths[name] = f"{base}/{name}.tsv.gz"
+        writer = df.coalesce(1).write.option("sep", sources.TAB).option("header", True).option("compression", "gzip")
+        writer.csv(paths[name])
+    return flat_profile(profile.dataset_metrics(sources.staged_tables(spark, paths)))
 
 
 def _column_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -206,12 +227,13 @@ def _column_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _file_listing(spark: SparkSession, sf: str) -> DataFrame:
-    """Folders of a table written by status, each with bytes in it."""
+    """Bytes of the files of a table written as lines, a folder for each status."""
     base = scratch_path(spark, "listing")
-    sinks.write_csv(I.table(spark, sf, "orders"), base, partition_by="o_orderstatus")
-    found = listings.list_files(spark, base, glob="*.csv", recursive=True)
+    lines = I.table(spark, sf, "orders").selectExpr("o_orderstatus", "concat_ws(',', o_orderkey, o_orderpriority) AS line")
+    lines.write.partitionBy("o_orderstatus").text(base)
+    found = listings.list_files(spark, base, glob="*.txt", recursive=True)
     status = F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1).alias("status")
-    return found.groupBy(status).agg((F.sum("length") > 0).alias("has_bytes"))
+    return found.groupBy(status).agg(F.sum("length").alias("bytes"))
 
 
 def _manifest(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,22 +253,23 @@ def _profile_json(spark: SparkSession, sf: str) -> DataFrame:
     nested = profile.profile(I.mixed_orders(spark, sf), "orders")
     sinks.append_json(nested, path)
     columns = spark.read.schema(nested.schema).json(path).select("dataset_name", F.inline("columns"))
-    return _rounded(
-        columns.select(
-            "dataset_name",
-            "column_name",
-            "number_non_empty_cells",
-            "number_empty_cells",
-            F.inline("data_types"),
-        ).select(
-            "dataset_name", "column_name", "number_non_empty_cells", "number_empty_cells", "type", "count", "mean"
-        )
-    )
+    return flat_columns(columns, "dataset_name")
+
+
+def _profiles_written_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles written twice, as by a run that broke off: each is there once."""
+    path = scratch_path(spark, "profiles.json")
+    tables = {"customer": I.table(spark, sf, "customer"), "part": I.table(spark, sf, "part")}
+    nested = sources.staged(profile.dataset_profiles(tables))
+    sinks.replace_json(nested.where("dataset_id = 'part'"), path, "dataset_id")
+    sinks.replace_json(nested, path, "dataset_id")
+    columns = spark.read.schema(nested.schema).json(path).select("dataset_id", F.inline("columns"))
+    return flat_columns(columns, "dataset_id")
 
 
 def _semantic_json(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "semantic.json")
-    nested = semantic.semantic_profile(I.rule_cells(spark, sf), _all_detectors())
+    nested = semantic.semantic_profile(I.rule_cells(spark, sf), _all_detectors(spark, sf))
     sinks.append_json(nested, path)
     return _flat_types(spark.read.schema(nested.schema).json(path))
 
@@ -283,13 +306,13 @@ def _name_lookup(spark: SparkSession, sf: str) -> DataFrame:
 # --- detectors and semantic profile ---------------------------------------
 
 
-def _all_detectors(**options) -> list[D.Detector]:
-    return D.detectors(neighbourhoods=I.NEIGHBOURHOODS, **options)
+def _all_detectors(spark: SparkSession, sf: str, **options) -> list[D.Detector]:
+    return D.detectors(neighbourhoods=I.neighbourhoods(spark, sf), **options)
 
 
 def _detector(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        (found,) = [d for d in _all_detectors(opt_in=True) if d.name == name]
+        (found,) = [d for d in _all_detectors(spark, sf, opt_in=True) if d.name == name]
         counts = semantic.detector_counts(I.detector_cells(spark, sf), [found])
         return counts.select("column_name", F.col(name).alias("n"))
 
@@ -302,7 +325,7 @@ def _non_empty(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fixed_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    found = [d for d in _all_detectors(fix_vocab=True) if d.name in ("area_of_study", "location_type")]
+    found = [d for d in _all_detectors(spark, sf, fix_vocab=True) if d.name in ("area_of_study", "location_type")]
     return semantic.long_counts(
         semantic.detector_counts(I.detector_cells(spark, sf), found), found
     )
@@ -318,29 +341,29 @@ def _sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return semantic.candidates(I.keyed_cells(spark, sf), F.col("row_key"), _all_detectors())
+    return semantic.candidates(I.keyed_cells(spark, sf), F.col("row_key"), _all_detectors(spark, sf))
 
 
 def _full_counts(spark: SparkSession, sf: str) -> DataFrame:
-    found = _all_detectors()
+    found = _all_detectors(spark, sf)
     return semantic.long_counts(semantic.detector_counts(I.detector_cells(spark, sf), found), found)
 
 
 def _semantic_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_types(semantic.semantic_profile(I.detector_cells(spark, sf), _all_detectors()))
+    return _flat_types(semantic.semantic_profile(I.detector_cells(spark, sf), _all_detectors(spark, sf)))
 
 
 def _semantic_table(spark: SparkSession, sf: str) -> DataFrame:
     """Every column of a table, numbers included, read as text."""
     values = semantic.counted_column_values(I.table(spark, sf, "lineitem", spread=True))
-    return _flat_types(semantic.semantic_profile(values, _all_detectors(opt_in=True)))
+    return _flat_types(semantic.semantic_profile(values, _all_detectors(spark, sf, opt_in=True)))
 
 
 def _semantic_files(spark: SparkSession, sf: str) -> DataFrame:
     """Column files under their file names, profiled in one job."""
     nested = semantic.semantic_profile(
         _column_file_cells(spark, sf),
-        _all_detectors(),
+        _all_detectors(spark, sf),
         column="file_name",
         name=sources.column_of_file(F.col("file_name")),
     )
@@ -414,13 +437,17 @@ def queries() -> dict[str, Query]:
         "gp_profile_lineitem": lambda spark, sf: flat_profile(
             profile.column_metrics(I.table(spark, sf, "lineitem", spread=True))
         ),
+        "gp_native_dates": _native_dates,
         "so_union_profiles": _union_profiles,
         "src_tsv_header": _tsv_header,
         "src_tsv_headerless": _tsv_headerless,
         "src_column_files": _column_files,
+        "src_column_files_inferred": _inferred_files,
+        "src_staged_tables": _staged_tables,
         "src_file_listing": _file_listing,
         "src_manifest": _manifest,
         "snk_profile_json": _profile_json,
+        "snk_profiles_written_twice": _profiles_written_twice,
         "snk_semantic_json": _semantic_json,
         "snk_csv": _csv,
         "snk_csv_single": _csv_single,

@@ -1,10 +1,13 @@
 """Detectors: does a cell look like a zip code, a street, a colour ...?
 
-A detector is a name and a condition in SQL over the cell as written and the
-cell in lower case.  Word searches are ``contains`` on bytes (about 2.5 times as
-fast as the alternation they stand for), lists are hash lookups, and each
-regular expression sits behind a cheap test that any match must pass.  NULL is
-never a hit.
+A detector is a name and a condition over the cell as written and the cell in
+lower case, in SQL or as a Column.  Word searches are ``contains`` on bytes (about
+2.5 times as fast as the alternation they stand for), lists are hash lookups, and
+each regular expression sits behind a cheap test that any match must pass.  NULL
+is never a hit.
+
+A detector by a table of names has no condition: cells are joined with the table,
+however long it is (see ``semantic.detector_counts``).
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugewell.functions import vocab
@@ -23,10 +26,15 @@ Condition = Callable[[str, str], "str | Column"]
 
 @dataclass(frozen=True)
 class Detector:
+    """A condition, or ``names``: a table whose first column lists the cells meant, in lower case or not."""
+
     name: str
-    condition: Condition
+    condition: Condition | None = None
+    names: DataFrame | None = None
 
     def hits(self, cell: str = "value", lowered: str | None = None) -> Column:
+        if self.condition is None:
+            raise ValueError(f"{self.name} is a table of names: cells are joined with it")
         test = self.condition(cell, lowered or f"lower({cell})")
         return F.expr(test) if isinstance(test, str) else test
 
@@ -55,11 +63,14 @@ ADDRESS = r"\d+ [a-z0-9.-][a-z0-9. -]*(?:ave|dr|rd|blvd|ln|st|av)"
 
 
 def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    """A SQL literal; text with quotes or backslashes depends on the session's settings and is no such literal."""
+    if "'" in text or "\\" in text:
+        raise ValueError(text)
+    return f"'{text}'"
 
 
-def _matches(cell: str, pattern: str) -> str:
-    return f"rlike({cell}, {_quoted(pattern)})"
+def _matches(cell: str, pattern: str) -> Column:
+    return F.expr(cell).rlike(pattern)
 
 
 def _words(words: Iterable[str]) -> Condition:
@@ -70,30 +81,52 @@ def _words(words: Iterable[str]) -> Condition:
 
 
 def _listed(names: Iterable[str], lower: bool) -> Condition:
-    listed = ", ".join(_quoted(n) for n in names)
-    if not listed:
+    names = list(names)
+    if not names:
         return lambda cell, low: "false"
+    if any("'" in n or "\\" in n for n in names):
+        return lambda cell, low: F.expr(low if lower else cell).isin(names)
+    listed = ", ".join(_quoted(n) for n in names)
     return lambda cell, low: f"{low if lower else cell} IN ({listed})"
 
 
-def _no_longer(cell: str, n: int) -> str:
+def _no_longer(cell: str, n: int) -> Column:
     """Length test before an anchored pattern; ``$`` may precede a line end."""
-    return f"length({cell}) <= {n + 2}"
+    return F.expr(f"length({cell}) <= {n + 2}")
+
+
+def _starts(cell: str, lead: str) -> Column:
+    return F.expr(cell).startswith(lead)
 
 
-def _address(cell: str, low: str) -> str:
-    return _matches(f"replace({low}, '  ', '\\n')", ADDRESS)
+def _address(cell: str, low: str) -> Column:
+    return F.replace(F.expr(low), F.lit("  "), F.lit("\n")).rlike(ADDRESS)
+
+
+def _named(name: str, names: Iterable[str] | DataFrame) -> Detector:
+    """Membership of the lower-cased cell in a list, or in the first column of a table.
+
+    A list of more than ``vocab.MAX_NAMES`` entries becomes a table, as lists are literals
+    of the plan.
+    """
+    if isinstance(names, DataFrame):
+        return Detector(name, names=names)
+    names = tuple(names)
+    if len(names) <= vocab.MAX_NAMES:
+        return Detector(name, _listed(names, lower=True))
+    spark = SparkSession.getActiveSession()
+    return Detector(name, names=spark.createDataFrame([(n,) for n in names], "name string"))
 
 
 def detectors(
-    neighbourhoods: Iterable[str] | None = None,
+    neighbourhoods: Iterable[str] | DataFrame | None = None,
     fix_vocab: bool = False,
     opt_in: bool = False,
 ) -> list[Detector]:
     """The detectors in output order.
 
-    ``neighbourhoods``: lower-cased names; without them that detector is left
-    out.  ``fix_vocab`` adds the corrected list entries.  ``opt_in`` appends
+    ``neighbourhoods``: names in a list, or a table with the names in its first
+    column; without them that detector is left out.  ``fix_vocab`` adds the corrected list entries.  ``opt_in`` appends
     latitude, longitude and address, which are off by default.
     """
     areas, places = vocab.AREAS_OF_STUDY, vocab.LOCATION_TYPES
@@ -101,38 +134,37 @@ def detectors(
         areas, places = areas + vocab.FIXED_AREAS_OF_STUDY, places + vocab.FIXED_LOCATION_TYPES
     longest_borough = len("staten island")
     found = [
-        Detector("zip_code", lambda c, low: f"startswith({low}, '1') AND {_matches(low, ZIP_CODE)}"),
+        Detector("zip_code", lambda c, low: _starts(low, "1") & _matches(low, ZIP_CODE)),
         Detector("phone_number", lambda c, low: _matches(low, PHONE_NUMBER)),
         Detector("school_name", _words(vocab.SCHOOL_NAME_WORDS)),
         Detector("street_name", _words(vocab.STREET_NAME_WORDS)),
-        Detector("lat_lon_cord", lambda c, low: f"startswith({low}, '(40.') AND {_matches(low, LAT_LON_CORD)}"),
+        Detector("lat_lon_cord", lambda c, low: _starts(low, "(40.") & _matches(low, LAT_LON_CORD)),
         Detector("college_name", _words(vocab.COLLEGE_NAME_WORDS)),
-        Detector("borough", lambda c, low: f"{_no_longer(low, longest_borough)} AND {_matches(low, BOROUGH)}"),
+        Detector("borough", lambda c, low: _no_longer(low, longest_borough) & _matches(low, BOROUGH)),
         Detector("park_playground", _words(vocab.PARK_WORDS)),
-        Detector("website", lambda c, low: f"{_words(('www.', '://'))(c, low)} AND {_matches(low, WEBSITE)}"),
+        Detector("website", lambda c, low: F.expr(_words(("www.", "://"))(c, low)) & _matches(low, WEBSITE)),
         Detector("business_name", _words(vocab.BUSINESS_NAME_WORDS)),
         Detector("subject_in_school", _listed(vocab.SUBJECTS, lower=True)),
     ]
     if neighbourhoods is not None:
-        names = vocab.checked_names(tuple(neighbourhoods))
-        found.append(Detector("neighbourhood", _listed(names, lower=True)))
+        found.append(_named("neighbourhood", neighbourhoods))
     found += [
         Detector("city_agency", _words(vocab.CITY_AGENCY_WORDS)),
         Detector("school_level", _words(vocab.SCHOOL_LEVEL_WORDS)),
         Detector(
             "building_classification",
-            lambda c, low: f"substring({c}, 3, 1) = '-' AND {_matches(c, BUILDING_CLASSIFICATION)}",
+            lambda c, low: F.expr(f"substring({c}, 3, 1) = '-'") & _matches(c, BUILDING_CLASSIFICATION),
         ),
         Detector("area_of_study", _listed(areas, lower=True)),
-        Detector("MiddleInitial", lambda c, low: f"{_no_longer(c, 2)} AND {_matches(c, MIDDLE_INITIAL)}"),
+        Detector("MiddleInitial", lambda c, low: _no_longer(c, 2) & _matches(c, MIDDLE_INITIAL)),
         Detector("car_make", _listed(vocab.CAR_MAKES, lower=False)),
         Detector("location_type", _listed(places, lower=False)),
         Detector("color", _listed(vocab.COLORS, lower=False)),
     ]
     if opt_in:
         found += [
-            Detector("Latitude", lambda c, low: f"startswith({low}, '40.') AND {_matches(low, LATITUDE)}"),
-            Detector("Longitude", lambda c, low: f"startswith({low}, '-7') AND {_matches(low, LONGITUDE)}"),
+            Detector("Latitude", lambda c, low: _starts(low, "40.") & _matches(low, LATITUDE)),
+            Detector("Longitude", lambda c, low: _starts(low, "-7") & _matches(low, LONGITUDE)),
             Detector("address", _address),
         ]
     return found

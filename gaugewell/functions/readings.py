@@ -95,11 +95,14 @@ def as_real(value: Column, dtype: str) -> Column:
     return _null("double")
 
 
-def as_date(value: Column, dtype: str = "string") -> Column:
+def as_date(value: Column, dtype: str = "string", native: bool = False) -> Column:
     """Date reading: a ``month/day/year`` prefix, whatever follows it.
 
-    Only text can have that shape: native dates and times print year first.
+    Only text can have that shape: native dates and times print year first.  With ``native``
+    they read as the day they are; a time with a zone by the session's.
     """
+    if native and dtype in ("date", "timestamp", "timestamp_ntz"):
+        return value.cast("date")
     if dtype != "string":
         return _null("date")
     prefix = F.nullif(F.regexp_extract(value, _DATE_PREFIX, 1), F.lit(""))

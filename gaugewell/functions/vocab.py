@@ -2,16 +2,16 @@
 
 Fixed values: every list below is compared with cells as it stands, misspelt
 and fused entries included.  Corrections are additions, made on request only.
-The neighbourhood list is long and local, so it is a parameter: see
-:func:`load_names`.
+The neighbourhood list is long and local, so it is a parameter: a list, or a table of
+any length such as :func:`names_table` reads.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Lists become literals of the plan, so their length is bounded.
+# Lists become literals of the plan, so their length is bounded; longer ones are tables.
 MAX_NAMES = 5_000
 
 # Substrings looked for in lower-cased cells.
@@ -112,24 +112,14 @@ FIXED_AREAS_OF_STUDY = ("animal science",)
 FIXED_LOCATION_TYPES = ("FAST FOOD", "GROCERY/BODEGA")
 
 
-def load_names(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Names from a text file, one a line, lower-cased, for a membership detector.
-
-    The read is cut at the bound plus one, so a wrong path cannot flood the driver.
-    """
-    line = F.lower(F.trim("value"))
-    rows = (
-        spark.read.text(path)
-        .select(line.alias("name"))
-        .where("name <> ''")
-        .distinct()
-        .limit(MAX_NAMES + 1)
-        .collect()
-    )
-    return checked_names(tuple(sorted(r.name for r in rows)))
+def names_table(spark: SparkSession, path: str) -> DataFrame:
+    """Names from text files, one a line, trimmed and in lower case: a table for a membership detector."""
+    return spark.read.text(path).select(F.lower(F.trim("value")).alias("name")).where("name <> ''").distinct()
 
 
-def checked_names(names: tuple[str, ...]) -> tuple[str, ...]:
-    if len(names) > MAX_NAMES:
-        raise ValueError(f"a name list may hold {MAX_NAMES} entries; join larger ones as a table")
-    return names
+def load_names(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The same as a list, for short files.  The read is cut at the bound plus one, so a wrong path cannot flood the driver."""
+    rows = names_table(spark, path).limit(MAX_NAMES + 1).collect()
+    if len(rows) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} names: use them as a table")
+    return tuple(sorted(r.name for r in rows))

@@ -41,6 +41,7 @@ class Cells:
     names: list[str]
     dtypes: list[str]
     lanes: dict[str, str]  # lane type -> column name in frame
+    datasets: list[str] | None = None  # dataset of each column, where there are several
 
     @property
     def keys(self) -> list[str]:
@@ -57,6 +58,10 @@ class Cells:
     def text(self) -> Column:
         return self.read(as_text)
 
+    def text_lanes(self) -> list[str]:
+        """Lanes that hold text: as it is, or printed."""
+        return [name for lane, name in self.lanes.items() if lane in ("string", "opaque")]
+
     def string_lane(self) -> Column:
         """The cell if its column is text, else NULL."""
         name = self.lanes.get("string")
@@ -65,6 +70,18 @@ class Cells:
     def name_of(self, col_id: Column) -> Column:
         return F.element_at(F.array(*[F.lit(n) for n in self.names]), col_id + 1)
 
+    def dataset_of(self, col_id: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(d) for d in self.datasets]), col_id + 1)
+
+    def columns(self) -> DataFrame:
+        """One row per column, cells or not: ``col_id``."""
+        ids = self.frame.sparkSession.range(0, len(self.names), 1, 1)
+        return ids.select(F.col("id").cast("int").alias("col_id"))
+
+
+def _storage(lane: str) -> str:
+    return "string" if lane == "opaque" else lane
+
 
 def to_cells(df: DataFrame, skip_dotted: bool = False, batch: int = COLUMNS_PER_UNPIVOT) -> Cells:
     """Unpivot every column of ``df``.
@@ -91,8 +108,7 @@ def to_cells(df: DataFrame, skip_dotted: bool = False, batch: int = COLUMNS_PER_
             if _lane_type(dtypes[i]) == "opaque":
                 source = source.cast("string")
             picked.append(source.alias(f"c{i}"))
-        storage = {k: ("string" if k == "opaque" else k) for k in kinds}
-        blanks = [F.lit(None).cast(storage[k]).alias(f"none_{j}") for j, k in enumerate(kinds)]
+        blanks = [F.lit(None).cast(_storage(k)).alias(f"none_{j}") for j, k in enumerate(kinds)]
         rows = ", ".join(
             "("
             + ", ".join(f"c{i}" if _lane_type(dtypes[i]) == k else f"none_{j}" for j, k in enumerate(kinds))
@@ -109,3 +125,27 @@ def to_cells(df: DataFrame, skip_dotted: bool = False, batch: int = COLUMNS_PER_
     ids = range(len(names))
     batches = [unpivot(list(ids[i : i + batch])) for i in range(0, len(names), batch)]
     return Cells(reduce(DataFrame.unionAll, batches), names, dtypes, lanes)
+
+
+def union_cells(datasets: dict[str, DataFrame], skip_dotted: bool = False) -> Cells:
+    """The cells of several tables of any schemas in one frame.
+
+    Columns are numbered through all tables and the lanes are those of any of them, so
+    everything that groups by column answers all tables in the same few shuffles.
+    """
+    if not datasets:
+        raise ValueError("no datasets to profile")
+    parts = {key: to_cells(df, skip_dotted) for key, df in datasets.items()}
+    kinds = list(dict.fromkeys(kind for cells in parts.values() for kind in cells.lanes))
+    lanes = {kind: f"lane_{i}" for i, kind in enumerate(kinds)}
+    frames, names, dtypes, owners = [], [], [], []
+    for key, cells in parts.items():
+        values = [
+            (F.col(cells.lanes[kind]) if kind in cells.lanes else F.lit(None).cast(_storage(kind))).alias(lane)
+            for kind, lane in lanes.items()
+        ]
+        frames.append(cells.frame.select((F.col("col_id") + len(names)).alias("col_id"), *values))
+        names += cells.names
+        dtypes += cells.dtypes
+        owners += [key] * len(cells.names)
+    return Cells(reduce(DataFrame.unionAll, frames), names, dtypes, lanes, owners)

@@ -5,28 +5,59 @@ fold map-side, so a value that fills a third of the table costs one row per
 task, and the shuffle is spread by value, never by column alone.  The k best of
 each column are then cut within every partition before the final ranking, which
 sees at most k rows per column, ranking and partition.
+
+Long text stays where it is: a value of more than ``LEAD`` characters is shuffled as its
+first ``LEAD`` characters, its length and a digest of 128 bits.  Only the k best
+are looked up again, by one more scan that finds them by length and lead and then
+compares digests.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugewell.operators.cells import Cells
 
 TOP = 5
+#: Characters of a value that stand for it in a shuffle, with a digest where there are more.
+LEAD = 64
 FREQUENT, SHORTEST, LONGEST = "frequent", "shortest", "longest"
 RANKINGS = (FREQUENT, SHORTEST, LONGEST)
 
 
+def _text_of(cells: Cells) -> Column | None:
+    lanes = [F.col(name) for name in cells.text_lanes()]
+    return F.coalesce(*lanes) if lanes else None
+
+
+def _lead(text: Column) -> Column:
+    return F.when(F.length(text) > LEAD, F.substring(text, 1, LEAD)).otherwise(text)
+
+
+def _digest(text: Column) -> Column:
+    return F.when(F.length(text) > LEAD, F.unhex(F.md5(text)))
+
+
 def counted_values(cells: Cells, frame: DataFrame | None = None) -> DataFrame:
-    """Distinct non-NULL values of every column with their count ``n``."""
-    return (
-        (cells.frame if frame is None else frame).where(cells.present())
-        .groupBy("col_id", *cells.keys)
-        .agg(F.count(F.lit(1)).alias("n"))
+    """Distinct non-NULL values of every column with their count ``n``.
+
+    Text lanes hold the lead of a value; ``chars`` and ``digest`` (of longer values) tell
+    values of one lead apart.
+    """
+    present = (cells.frame if frame is None else frame).where(cells.present())
+    text, short = _text_of(cells), cells.text_lanes()
+    if text is None:
+        counted = present.groupBy("col_id", *cells.keys).agg(F.count(F.lit(1)).alias("n"))
+        return counted.withColumns({"chars": F.lit(None).cast("int"), "digest": F.lit(None).cast("binary")})
+    keyed = present.select(
+        "col_id",
+        *[_lead(F.col(k)).alias(k) if k in short else F.col(k) for k in cells.keys],
+        F.length(text).alias("chars"),
+        _digest(text).alias("digest"),
     )
+    return keyed.groupBy("col_id", *cells.keys, "chars", "digest").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_counts(cells: Cells) -> DataFrame:
@@ -90,28 +121,52 @@ def ranked_values(cells: Cells, rankings: tuple[str, ...] = RANKINGS, k: int = T
     """Rows (col_id, ranking, rank, value, n), ``rank`` from 1 to ``k``.
 
     Frequent: count descending, then value.  Shortest and longest: text columns
-    only, distinct values by length, then value.  Where lengths alone are asked
-    for, a first scan bounds them, and values in between are never shuffled.
+    only, distinct values by length, then value.  Values that agree in their first
+    ``LEAD`` characters go by their length, then by their digest.
+
+    Where lengths alone are asked for, a first scan bounds them, and values in between
+    are never shuffled.
     """
     unknown = set(rankings) - set(RANKINGS)
     if unknown or not rankings:
         raise ValueError(f"rankings must be among {RANKINGS}")
     frame = None if FREQUENT in rankings else _extreme_lengths(cells, rankings, k)
-    length = F.length(cells.string_lane()).cast("bigint")
+    length = F.when(cells.string_lane().isNotNull(), F.col("chars")).cast("bigint")
     sort_keys = {FREQUENT: -F.col("n"), SHORTEST: length, LONGEST: -length}
+    identity = ["col_id", "value", "chars", "digest", "n"]
     values = counted_values(cells, frame).select(
-        "col_id", cells.text().alias("value"), "n", *[sort_keys[r].alias(r) for r in rankings]
+        "col_id", cells.text().alias("value"), "chars", "digest", "n", *[sort_keys[r].alias(r) for r in rankings]
     )
     # One stream for all rankings: the counted values are computed and sorted once.
-    entries = values.unpivot(["col_id", "value", "n"], list(rankings), "ranking", "sort_key").where(
-        "sort_key IS NOT NULL"
+    entries = values.unpivot(identity, list(rankings), "ranking", "sort_key").where("sort_key IS NOT NULL")
+    best = W.partitionBy("col_id", "ranking").orderBy("sort_key", "value", "chars", "digest")
+    ranked = entries.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    if cells.text_lanes():
+        ranked = _with_whole_values(cells, ranked)
+    return ranked.select("col_id", "ranking", "rank", "value", "n")
+
+
+def _with_whole_values(cells: Cells, ranked: DataFrame) -> DataFrame:
+    """Ranked values with the whole text in place of the lead.
+
+    At most k rows per column and ranking are looked up, so their leads and digests are
+    broadcast.  Cells are found by length and lead; digests are computed of those alone, which
+    is why their comparison must not become a key of the join.  Cells of one digest must be
+    equal.  Where no value is longer than its lead the second scan falls away.
+    """
+    text = _text_of(cells)
+    long = ranked.where("digest IS NOT NULL").withColumnRenamed("value", "lead")
+    cell = cells.frame.where(F.length(text) > LEAD).select(
+        "col_id", text.alias("text"), _lead(text).alias("lead"), F.length(text).alias("chars")
     )
-    best = W.partitionBy("col_id", "ranking").orderBy("sort_key", "value")
-    return (
-        entries.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select("col_id", "ranking", "rank", "value", "n")
+    met = cell.join(F.broadcast(long), ["col_id", "lead", "chars"])
+    same = met.where(F.nullif(F.col("digest"), F.unhex(F.md5("text"))).isNull())
+    whole = same.groupBy("col_id", "ranking", "rank", "n").agg(F.min("text").alias("value"), F.max("text").alias("other"))
+    one = F.when(F.col("value") == F.col("other"), F.col("value")).otherwise(
+        F.raise_error(F.lit("two values of one digest")).cast("string")
     )
+    columns = ["col_id", "ranking", "rank", "value", "n"]
+    return ranked.where("digest IS NULL").select(columns).unionAll(whole.withColumn("value", one).select(columns))
 
 
 def ranked_lists(cells: Cells, rankings: tuple[str, ...] = RANKINGS, k: int = TOP) -> DataFrame:

@@ -38,8 +38,12 @@ def scalar_metrics(
     int_type: str = "int",
     approx_distinct: bool = False,
     rsd: float = 0.05,
+    native_dates: bool = False,
 ) -> DataFrame:
-    """One row per column: ``col_id`` and the metrics of the wanted sections."""
+    """One row per column: ``col_id`` and the metrics of the wanted sections.
+
+    ``native_dates`` counts cells of date and time columns as dates, beside text that reads so.
+    """
     unknown = set(sections) - set(SECTIONS)
     if unknown:
         raise ValueError(f"unknown sections: {sorted(unknown)}")
@@ -58,7 +62,8 @@ def scalar_metrics(
         read.append(cells.read(as_real).alias("as_real"))
         wanted += _numeric("as_real", "real")
     if "date" in sections:
-        read.append(as_date(cells.string_lane()).alias("as_date"))
+        date = cells.read(lambda c, t: as_date(c, t, True)) if native_dates else as_date(cells.string_lane())
+        read.append(date.alias("as_date"))
         wanted += [
             _count("as_date").alias("date_count"),
             F.max("as_date").alias("date_max_value"),

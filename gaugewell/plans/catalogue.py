@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gaugewell.operators.numbering import numbered
+
 # Fixed value: suffix of dataset files.
 DATASET_SUFFIX = ".gz"
 
@@ -18,18 +19,12 @@ def dataset_id(path: Column) -> Column:
 def first_datasets(listing: DataFrame, n: int) -> DataFrame:
     """The ``n`` smallest dataset files of a listing (``path``, ``length``).
 
-    Adds ``dataset_id`` and the ``ordinal`` from 1.  Only the n files kept are
-    brought together to be numbered; the listing itself is cut in its tasks.
+    Adds ``dataset_id`` and the ``ordinal`` from 1.  The files are sorted and numbered in
+    as many tasks as the sort has, whatever ``n`` is.
     """
-    chosen = (
-        listing.where(F.col("path").endswith(DATASET_SUFFIX)).orderBy("length", "path").limit(n)
-    )
-    return chosen.select(
-        F.row_number().over(W.orderBy("length", "path")).cast("bigint").alias("ordinal"),
-        "path",
-        "length",
-        dataset_id(F.col("path")).alias("dataset_id"),
-    )
+    files = listing.where(F.col("path").endswith(DATASET_SUFFIX)).select("path", "length")
+    found = numbered(files, "length", "path").where(F.col("ordinal") <= n)
+    return found.select("ordinal", "path", "length", dataset_id(F.col("path")).alias("dataset_id"))
 
 
 def exclude(chosen: DataFrame, excluded: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugewell.functions.detectors import Detector, detectors
 from gaugewell.plans import catalogue, profile, reports, semantic
-from gaugewell.sinks.files import append_json, write_csv, write_single_csv
+from gaugewell.sinks.files import finished, note_finished, replace_json, write_csv, write_single_csv
 from gaugewell.sources import listing, tables
 
 # Name of the catalogue within a dataset folder.
@@ -26,30 +26,33 @@ def profile_folder(
     done: Iterable[str] = (),
     **options,
 ) -> list[str]:
-    """Profile the ``n`` smallest datasets of a folder and append them to ``out``.
+    """Profile the ``n`` smallest datasets of a folder into ``out``, a folder per dataset.
 
-    Each dataset is staged as parquet once; ``batch`` of them are profiled per
-    job.  A batch is appended when it is complete, so a broken run is taken up
-    again by passing the dataset ids in ``done``.  Returns the ids profiled.
+    ``batch`` datasets are staged, typed and profiled together, in as many jobs as one would
+    take.  A batch is noted beside ``out`` when it is written; a run that broke off is taken
+    up again by calling it again: what is noted is left out, and a batch that was written
+    but not noted replaces itself.  Ids in ``done`` are left out as well.  Returns the ids
+    profiled; a file without a header line has no profile.
     """
     files = listing.list_files(spark, folder)
     chosen = catalogue.first_datasets(files, n)
     if excluded is not None:
         chosen = catalogue.exclude(chosen, excluded)
+    chosen = chosen.join(finished(spark, out).withColumnRenamed("key", "dataset_id"), "dataset_id", "left_anti")
     names = tables.read_catalogue(spark, f"{folder.rstrip('/')}/{CATALOGUE_FILE}")
     # n paths, smallest first: the plan of the run, not its data.
-    finished = set(done)
+    listed = set(done)
     todo = [
         (r["dataset_id"], r["path"])
         for r in chosen.orderBy("ordinal").collect()
-        if r["dataset_id"] not in finished
+        if r["dataset_id"] not in listed
     ]
     for start in range(0, len(todo), batch):
-        frames = {
-            key: tables.staged(tables.spread(tables.read_table(spark, path), path))
-            for key, path in todo[start : start + batch]
-        }
-        append_json(profile.dataset_profiles(frames, names, **options), out)
+        part = dict(todo[start : start + batch])
+        frames = tables.staged_tables(spark, part)
+        if frames:
+            replace_json(profile.dataset_profiles(frames, names, **options), out, "dataset_id")
+        note_finished(spark.createDataFrame([(key,) for key in part], "dataset_id string"), out, "dataset_id")
     return [key for key, _ in todo]
 
 
@@ -64,7 +67,8 @@ def semantic_run(
     """Semantic profile of the first ``n`` columns of a manifest, in one job.
 
     Every valid column of the manifest has a row, one without cells too.  The
-    profile is appended to ``out`` and the manifest's rejected names returned.
+    profile is written to ``out``, a folder per column file, so a run that is repeated
+    replaces itself; the manifest's rejected names are returned.
     """
     found = detectors() if found is None else found
     entries = listing.read_manifest(spark, manifest, n)
@@ -74,7 +78,7 @@ def semantic_run(
     values = tables.read_column_files(spark, paths)
     counts = semantic.detector_counts(values, found, "file_name")
     counts = wanted.join(counts, "file_name", "left").fillna(0)
-    append_json(semantic.semantic_types(counts, found, "file_name", F.col("name")).drop("file_name"), out)
+    replace_json(semantic.semantic_types(counts, found, "file_name", F.col("name")), out, "file_name", keep=False)
     return entries.where("NOT valid").select("pos", "file_name")
 
 
@@ -85,7 +89,7 @@ def report_run(
 
     The table is staged once, so the text is parsed once for all of them.
     """
-    requests = reports.register_view(tables.staged(tables.spread(tables.read_table(spark, path), path)))
+    requests = reports.register_view(tables.staged(tables.spread(tables.read_table(spark, path))))
     base = out.rstrip("/")
     write_csv(reports.top_complaints(requests, names=names), f"{base}/top_complaints", partition_by="borough")
     write_csv(reports.top_agencies(requests, names=names), f"{base}/top_agencies", partition_by="borough")

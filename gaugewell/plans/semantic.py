@@ -3,6 +3,10 @@
 All columns are one frame of (column, value) and every detector is counted in
 one aggregation, so a run is one scan and one exchange of small rows whatever
 the number of columns.  Task-side folding makes a dominant column harmless.
+
+Detectors by a table of names add a scan each: cells no longer than the longest name
+are counted by value first, so a value that fills the table is one row a task, and the
+counted values are then semi-joined with the names, which Spark broadcasts if they are few.
 """
 
 from __future__ import annotations
@@ -43,26 +47,35 @@ def counted_column_values(df: DataFrame) -> DataFrame:
     )
 
 
+def _total(values: DataFrame, test: Column) -> Column:
+    """Rows that pass a test; a row counts once, or as often as its weight says."""
+    if WEIGHT in values.columns:
+        return F.coalesce(F.sum(F.when(test, F.col(WEIGHT))), F.lit(0).cast("bigint"))
+    return F.count_if(test).cast("bigint")
+
+
+def _listed_counts(values: DataFrame, detector: Detector, column: str) -> DataFrame:
+    """(column, <detector>): cells whose lower-cased value is in the detector's table of names."""
+    first = detector.names.columns[0]
+    names = detector.names.select(F.lower(F.col(f"`{first}`")).alias("lowered")).where("lowered IS NOT NULL").distinct()
+    longest = names.agg(F.max(F.length("lowered"))).scalar()
+    short = values.where(F.length("value") <= longest).select("*", F.lower("value").alias("lowered"))
+    counted = short.groupBy(column, "lowered").agg(_total(values, F.lit(True)).alias("times"))
+    return counted.join(names, "lowered", "left_semi").groupBy(column).agg(F.sum("times").alias(detector.name))
+
+
 def _counts(
     values: DataFrame, found: Iterable[Detector], column: str
 ) -> DataFrame:
-    """One row per column: non-empty cells and the hits of each detector.
-
-    A row counts once, or as often as its weight says.
-    """
-    weighted = WEIGHT in values.columns
+    """One row per column: non-empty cells and the hits of each detector."""
+    found = list(found)
     lowered = values.select("*", F.lower("value").alias("lowered"))
-
-    def total(test: Column) -> Column:
-        if weighted:
-            return F.coalesce(F.sum(F.when(test, F.col(WEIGHT))), F.lit(0).cast("bigint"))
-        return F.count_if(test).cast("bigint")
-
-    hits = []
-    for d in found:
-        test = d.hits("value", "lowered")
-        hits.append(total(test).alias(d.name))
-    return lowered.groupBy(column).agg(total(F.col("value").isNotNull()).alias(NON_EMPTY), *hits)
+    hits = [_total(values, d.hits("value", "lowered")).alias(d.name) for d in found if d.names is None]
+    counts = lowered.groupBy(column).agg(_total(values, F.col("value").isNotNull()).alias(NON_EMPTY), *hits)
+    listed = [d for d in found if d.names is not None]
+    for d in listed:
+        counts = counts.join(_listed_counts(values, d, column), column, "left")
+    return counts.fillna(0, [d.name for d in listed]) if listed else counts
 
 
 def detector_counts(

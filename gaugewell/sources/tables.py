@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import csv
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugewell.session import byte_size, scratch_path
-from gaugewell.sources.listing import list_files
+from gaugewell.session import scratch_path
+from gaugewell.sources import inference
 
 # Fixed value: field separator of every text source.
 TAB = "\t"
@@ -20,26 +21,36 @@ CATALOGUE_SCHEMA = T.StructType(
 VALUE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
-# Least file bytes worth a task of their own when a source is spread.
+# Least bytes worth a task of their own when a source is spread.
 SPREAD_BYTES = 256 << 10
 
 
-def spread(df: DataFrame, path: str | list[str]) -> DataFrame:
-    """Redistribute the rows of a source that has fewer splits than there are cores.
+def _scan_tasks(df: DataFrame) -> int:
+    """Tasks that read a source, as planned: splits of its files, one for each gzip file."""
+    return df._jdf.queryExecution().toRdd().getNumPartitions()
 
-    A small table, one row group or one gzip file is read by one or a few tasks,
-    and all that follows stays in them.  Where the files' size says so, the rows
-    are dealt once to as many tasks as there are cores, or file bytes for; a
-    source with splits enough is left alone.
+
+def _source_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute the rows of a source that is read by fewer tasks than there are cores.
+
+    A small table, one row group or one gzip file is read by one or a few tasks, and all that
+    follows stays in them.  Such rows are dealt once to as many tasks as there are cores, or
+    bytes for; a gzip file of any size is, as nothing splits it.  A source read by tasks
+    enough is left alone.  ``df`` is a source as read, before any join or aggregate.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = list_files(spark, path, recursive=True).agg(F.sum("length")).first()[0] or 0
-    if size >= cores * byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes")):
-        return df
-    parts = min(cores, -(-size // SPREAD_BYTES))
-    if parts <= 1:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = _scan_tasks(df)
+    parts = min(cores, -(-_source_bytes(df) // SPREAD_BYTES))
+    if tasks >= cores or parts <= tasks:
         return df
+    return _dealt(df, parts)
+
+
+def _dealt(df: DataFrame, parts: int) -> DataFrame:
     # By row number, not round robin: that sorts every row first, so as to be
     # repeatable when a task is run again; a number is repeatable as it is.
     row = "_row_number_"
@@ -51,8 +62,8 @@ def read_table(
 ) -> DataFrame:
     """A table with a header row; types are inferred unless a schema is given.
 
-    A gzip file is read by one task: see :func:`spread` for one pass over it and
-    :func:`staged` for several.
+    A gzip file is read by one task: see :func:`spread` for one pass over it,
+    :func:`staged` for several and :func:`staged_tables` for many files.
     """
     reader = spark.read.option("sep", TAB).option("header", True)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
@@ -64,32 +75,63 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", TAB).option("header", False).schema(CATALOGUE_SCHEMA).csv(path)
 
 
+#: Folder that a writer of column files makes for each of them.
+FILE_FOLDER = "file_name"
+
+
 def _column_file() -> Column:
     """Name of the file a row comes from, or of its folder if Spark wrote it."""
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return F.regexp_extract(path, r"([^/]+)(?:/part-[^/]*)?$", 1).alias("file_name")
+    name = F.regexp_extract(path, r"([^/]+)(?:/part-[^/]*)?$", 1)
+    lead = f"{FILE_FOLDER}="
+    # names of folders are escaped once more
+    own = F.url_decode(F.replace(F.substr(name, F.lit(len(lead) + 1)), F.lit("+"), F.lit("%2B")))
+    return F.when(F.startswith(name, F.lit(lead)), own).otherwise(name).alias("file_name")
+
+
+def encoded(cell: Column) -> Column:
+    """A cell as one line: line ends, tabs and backslashes escaped, NULL a blank line, the empty text ``\\e``."""
+    text = cell
+    for plain, escape in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = F.replace(text, F.lit(plain), F.lit(escape))
+    return F.when(cell == "", F.lit("\\e")).otherwise(F.coalesce(text, F.lit("")))
+
+
+def decoded(line: Column) -> Column:
+    """The cell that :func:`encoded` made a line of."""
+
+    def plain(part: Column) -> Column:
+        for escape, text in (("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\\e", "")):
+            part = F.replace(part, F.lit(escape), F.lit(text))
+        return part
 
+    # between two escaped backslashes every backslash starts an escape
+    whole = F.array_join(F.transform(F.split(line, r"\\\\", -1), plain), "\\")
+    return F.when(line != "", F.when(F.contains(line, F.lit("\\")), whole).otherwise(line))
 
-def read_column_files(spark: SparkSession, paths: str | list[str], infer: bool = False) -> DataFrame:
-    """Headerless one-column files as (file_name, value), all in one read.
 
-    Cells stay as written.  ``infer=True`` types each file first and prints the
-    typed cell, which rewrites cells of mixed number formats; it plans file by
-    file, so it is for short lists.
+def read_column_files(
+    spark: SparkSession, paths: str | list[str], infer: bool = False, escaped: bool = False
+) -> DataFrame:
+    """Headerless one-column files as (file_name, value), all in one read, a row a line.
+
+    A blank line is a NULL cell, other cells stay as written.  ``escaped`` reads what
+    ``sinks.files.write_column_files`` wrote, cells with line ends among them; otherwise a
+    line is read as tab-separated with quotes, and its first field is the cell.  ``infer=True``
+    types each file first and prints the typed cell, which rewrites cells of mixed number
+    formats: one more scan, whatever the number of files.
     """
-    reader = spark.read.option("sep", TAB).option("header", False)
+    if escaped:
+        lines = spark.read.option("lineSep", "\n").text(paths)
+        cells = lines.select(_column_file(), decoded(F.col("value")).alias("value"))
+    else:
+        cell = F.from_csv("value", "cell string", {"sep": TAB})["cell"]
+        cells = spark.read.text(paths).select(_column_file(), F.when(F.col("value") != "", cell).alias("value"))
     if not infer:
-        return reader.schema(VALUE_SCHEMA).csv(paths).select(_column_file(), "value")
-    files = [paths] if isinstance(paths, str) else paths
-    typed = [
-        spark.read.option("sep", TAB)
-        .option("header", False)
-        .option("inferSchema", True)
-        .csv(p)
-        .select(_column_file(), F.col("_c0").cast("string").alias("value"))
-        for p in files
-    ]
-    return reduce(DataFrame.unionAll, typed)
+        return cells
+    kinds = inference.winners(cells, "file_name")
+    typed = cells.join(kinds, "file_name")
+    return typed.select("file_name", inference.printed(F.col("value"), F.col("kind")).alias("value"))
 
 
 def column_of_file(file_name: Column) -> Column:
@@ -110,3 +152,74 @@ def staged(df: DataFrame, path: str | None = None) -> DataFrame:
     names = df.columns
     df.toDF(*[f"c{i}" for i in range(len(names))]).write.parquet(path)
     return spark.read.parquet(path).toDF(*names)
+
+
+# --- many tables at once -------------------------------------------------------------------
+
+LINES = "file_name string, block long, row long, line string"
+
+
+def _staged_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The lines of all files, written once as parquet: LINES, a folder per file.
+
+    One read over all paths.  Where fewer tasks read them than there are cores, as with a few
+    gzip files, the lines are dealt anew before they are written; a folder's parts are then
+    split like any parquet, whatever the file was.
+    """
+    lines = spark.read.text(paths)
+    # a line's place: blocks of a file in order, rows as they are read
+    placed = lines.select(
+        _column_file(), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("line")
+    )
+    cores = spark.sparkContext.defaultParallelism
+    if _scan_tasks(lines) < cores:
+        placed = placed.repartition(cores, "row")
+    path = scratch_path(spark, "lines")
+    placed.write.partitionBy("file_name").parquet(path)
+    return spark.read.schema(LINES).parquet(path)
+
+
+def _header(line: str) -> list[str]:
+    """Column names of a header line; blank and repeated ones as Spark's reader names them."""
+    names = next(csv.reader([line], delimiter=TAB), [])
+    times = Counter(n.lower() for n in names)
+    return [f"_c{i}" if not n else f"{n}{i}" if times[n.lower()] > 1 else n for i, n in enumerate(names)]
+
+
+def staged_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """Tables with a header row as typed frames, all staged and typed together.
+
+    ``paths``: a file by the key of its frame; file names must differ.  Lines are read
+    and written once; one job finds the headers, one types all columns of all files (as
+    the narrowest type that all cells of a column fit).  What goes through the driver is the
+    header lines and types.  A file without a line has no frame.
+    """
+    files = {path.rstrip("/").rsplit("/", 1)[-1]: key for key, path in paths.items()}
+    if len(files) != len(paths):
+        raise ValueError("file names must differ")
+    lines = _staged_lines(spark, list(paths.values()))
+    # the first line of a file is in its first block
+    firsts = lines.where("block = 0").groupBy("file_name").agg(F.min("row").alias("row"))
+    heads = {
+        r["file_name"]: (r["row"], _header(r["line"]))
+        for r in lines.where("block = 0").join(firsts, ["file_name", "row"]).select("file_name", "row", "line").collect()
+    }
+    if not heads:
+        return {}
+    name, first = F.col("file_name"), (F.col("block") == 0)
+    heading = F.lit(False)
+    for file_name, (row, _) in heads.items():
+        heading = heading | ((name == file_name) & first & (F.col("row") == row))
+    # lines of blanks alone are no rows
+    body = lines.where(~heading & F.col("line").rlike(r"[^\x00-\x20]"))
+    width = max(len(names) for _, names in heads.values())
+    cells = [f"c{i}" for i in range(width)]
+    parsed = body.select("file_name", F.from_csv("line", ", ".join(f"{c} string" for c in cells), {"sep": TAB}).alias("r"))
+    long = parsed.select("file_name", F.posexplode(F.array(*[F.col(f"r.{c}") for c in cells])).alias("place", "value"))
+    kinds = {(r["file_name"], r["place"]): r["kind"] for r in inference.winners(long, "file_name", "place").collect()}
+    frames = {}
+    for file_name, (_, names) in heads.items():
+        ddl = ", ".join(f"c{i} {kinds.get((file_name, i), inference.WIDEST)}" for i in range(len(names)))
+        row = F.from_csv("line", ddl, {"sep": TAB}).alias("r")
+        frames[files[file_name]] = body.where(name == file_name).select(row).select("r.*").toDF(*names)
+    return frames

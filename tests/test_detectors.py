@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gaugewell.checks.inputs import NEIGHBOURHOODS
 from gaugewell.functions import detectors as D
 from gaugewell.functions import vocab as V
+from gaugewell.plans import semantic
 
 TRUTH = {
     "zip_code": (["10001", "11999"], ["11201-1234", "12000", "1000"]),
@@ -140,11 +141,43 @@ def test_catalogue_of_detectors():
     assert [d.name for d in D.detectors(opt_in=True)][-3:] == ["Latitude", "Longitude", "address"]
 
 
-def test_name_list_from_a_file(spark, tmp_path):
+def test_name_list_from_a_file(spark, tmp_path, monkeypatch):
     (tmp_path / "names.txt").write_text("Astoria\n\n SoHo \nastoria\n")
     assert V.load_names(spark, str(tmp_path / "names.txt")) == ("astoria", "soho")
+    assert {r.name for r in V.names_table(spark, str(tmp_path / "names.txt")).collect()} == {"astoria", "soho"}
+    monkeypatch.setattr(V, "MAX_NAMES", 1)
     with pytest.raises(ValueError):
-        V.checked_names(tuple(map(str, range(V.MAX_NAMES + 1))))
+        V.load_names(spark, str(tmp_path / "names.txt"))
+
+
+def test_six_thousand_names(spark, tmp_path):
+    names = [f"place {i}" for i in range(6000)] + ["İstanbul", "randall's island", "back\\slash"]
+    (tmp_path / "names.txt").write_text("\n".join(names))
+    rows = [("a", n.upper()) for n in names[::10]] + [("a", "PLACE"), ("a", None), ("b", "place 7 "), ("c", "Place 5999")] * 2
+    rows += [("a", "İstanbul"), ("a", "x" * 100_000), ("d", "Randall's Island"), ("d", "BACK\\slash")]
+    cells = spark.createDataFrame(rows, "column_name string, value string").repartition(5)
+    want = {"a": len(names[::10]) + 1, "b": 0, "c": 2, "d": 2}
+    for given in (names, V.names_table(spark, str(tmp_path / "names.txt"))):
+        found = [d for d in D.detectors(neighbourhoods=given) if d.name == "neighbourhood"]
+        assert found[0].names is not None
+        got = {r.column_name: r.neighbourhood for r in semantic.detector_counts(cells, found).collect()}
+        assert got == want
+    with pytest.raises(ValueError):
+        found[0].hits()
+    # no names, no hits
+    none = D.Detector("nothing", names=spark.createDataFrame([], "name string"))
+    assert {r["nothing"] for r in semantic.detector_counts(cells, [none]).collect()} == {0}
+
+
+def test_patterns_do_not_depend_on_how_literals_are_read(spark):
+    name = "spark.sql.parser.escapedStringLiterals"
+    cells = sorted({c for hit, _ in TRUTH.values() for c in hit})
+    plain = hits(spark, cells, EVERY)
+    spark.conf.set(name, "true")
+    try:
+        assert hits(spark, cells, D.detectors(neighbourhoods=NEIGHBOURHOODS, opt_in=True)) == plain
+    finally:
+        spark.conf.unset(name)
 
 
 @pytest.mark.parametrize(

@@ -1,12 +1,15 @@
 """Sources, sinks, catalogue and reports on small files."""
 
 import gzip
+import random
+from collections import Counter
 from datetime import date
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from gaugewell.operators.numbering import numbered
 from gaugewell.plans import catalogue, profile, reports
 from gaugewell.session import byte_size, scratch_path
 from gaugewell.sinks import files as sinks
@@ -33,9 +36,9 @@ def test_table_with_header(spark, requests_file, monkeypatch):
     df = tables.read_table(spark, requests_file)
     assert dict(df.dtypes)["Unique Key"] == "int" and df.count() == 5
     assert df.where("`Closed Date` IS NULL").count() == 1
-    assert tables.spread(df, requests_file) is df
+    assert tables.spread(df) is df
     monkeypatch.setattr(tables, "SPREAD_BYTES", 16)
-    spread = tables.spread(df, requests_file)
+    spread = tables.spread(df)
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(map(str, spread.collect())) == sorted(map(str, df.collect()))
     staged = tables.staged(df)
@@ -44,14 +47,24 @@ def test_table_with_header(spark, requests_file, monkeypatch):
     assert named.columns == ["k", "created"]
 
 
-def test_spread_leaves_large_sources_alone(spark, requests_file):
-    df = tables.read_table(spark, requests_file)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16b")
+def test_spread_counts_the_tasks_of_the_scan(spark, requests_file, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 16)
+    plain = tmp_path / "erm.tsv"
+    plain.write_text(REQUESTS)
+    names = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    before = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, "16b")
     try:
-        assert tables.spread(df, requests_file) is df
+        split = tables.read_table(spark, str(plain), "k string")
+        assert tables.spread(split) is split
+        # a gzip file is one task, however large it is
+        one = tables.read_table(spark, requests_file, "k string")
+        assert one.rdd.getNumPartitions() == 1
+        assert tables.spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
 
 
 def test_reports(spark, requests_file):
@@ -73,19 +86,87 @@ def test_reports(spark, requests_file):
 
 
 def test_column_files_keep_cells_as_written(spark, tmp_path):
-    for name, lines in {"d1.Zip.a.b": ["007", "40.710", "12"], "d 2.Col+x.a.b": ["x\ty", "", "z"]}.items():
+    files = {"d1.Zip.a.b": ["007", "40.710", "12"], "d 2.Col+x.a.b": ["x\ty", "", '"z, \'w"', " a "]}
+    for name, lines in files.items():
         (tmp_path / name).write_text("\n".join(lines) + "\n")
-    rows = {(r.file_name, r.value) for r in tables.read_column_files(spark, str(tmp_path)).collect()}
-    assert rows == {
+    rows = sorted(map(repr, ((r.file_name, r.value) for r in tables.read_column_files(spark, str(tmp_path)).collect())))
+    # a blank line is a NULL cell; a line is tab-separated, its first field the cell
+    assert rows == sorted(map(repr, [
         ("d1.Zip.a.b", "007"), ("d1.Zip.a.b", "40.710"), ("d1.Zip.a.b", "12"),
-        ("d 2.Col+x.a.b", "x"), ("d 2.Col+x.a.b", "z"),
-    }
+        ("d 2.Col+x.a.b", "x"), ("d 2.Col+x.a.b", None), ("d 2.Col+x.a.b", "z, 'w"), ("d 2.Col+x.a.b", " a "),
+    ]))
     typed = tables.read_column_files(spark, [str(tmp_path / "d1.Zip.a.b")], infer=True)
     assert {r.value for r in typed.collect()} == {"7.0", "40.71", "12.0"}
     name = spark.range(1).select(tables.column_of_file(F.lit("d1.Zip.a.b"))).first()[0]
     assert name == "Zip"
 
 
+def test_any_cell_survives_a_column_file(spark, tmp_path):
+    cells = ["a\nb", "\\n", "\\", "", None, None, "x\ty", "r\rz", "\\\\n\n\\", "\\e", "é\u2028", " ", "\r\n"]
+    rng = random.Random(1)
+    cells += ["".join(rng.choice("\\nrte\n\r\t ") for _ in range(rng.randint(0, 9))) for _ in range(500)]
+    rows = [(f"d{i % 3}.a b%:=+{i % 2}.x.y", c) for i, c in enumerate(cells)]
+    sinks.write_column_files(spark.createDataFrame(rows, "file_name string, value string").repartition(4), str(tmp_path / "c"))
+    got = tables.read_column_files(spark, str(tmp_path / "c"), escaped=True).collect()
+    assert Counter(map(tuple, got)) == Counter(rows)
+
+
+KINDS = {
+    "int": ["1", "-7", "+8", "007", None],
+    "bigint": ["1", "3000000000"],
+    "decimal": ["1", "12345678901234567890"],
+    "double": ["1", "2.50", "1e3", "-.5", "NaN"],
+    "mixed": ["007", "40.710", "12"],
+    "boolean": ["true", "FALSE"],
+    "day": ["2020-01-02", "1999-12-31"],
+    "text": ["1", "x"],
+    "flag": ["true", "1"],
+    "almost": ["1", "2.5", "2020-01-02"],
+    "none": [None],
+}
+
+
+def test_inference_is_that_of_the_reader_in_one_scan(spark, tmp_path, plan):
+    for name, cells in KINDS.items():
+        (tmp_path / f"d.{name}.a.b").write_text("\n".join(c or "" for c in cells) + "\n")
+    found = tables.read_column_files(spark, str(tmp_path), infer=True)
+    got = Counter((r.file_name, r.value) for r in found.collect())
+    want = Counter()
+    for name in KINDS:
+        one = spark.read.option("sep", "\t").option("inferSchema", True).csv(str(tmp_path / f"d.{name}.a.b"))
+        if one.columns:
+            want.update((f"d.{name}.a.b", r.v) for r in one.select(F.col("_c0").cast("string").alias("v")).collect())
+    blanks = Counter((f"d.{name}.a.b", None) for name, cells in KINDS.items() if None in cells)
+    assert got == want + blanks
+    assert plan(found).split("Initial Plan")[0].count("FileScan") == 2
+
+
+def gzipped(folder, name, text):
+    with gzip.open(folder / f"{name}.tsv.gz", "wt") as f:
+        f.write(text)
+    return str(folder / f"{name}.tsv.gz")
+
+
+def test_staged_tables_are_those_of_the_reader(spark, tmp_path):
+    texts = {
+        "requests": REQUESTS,
+        "typed": "i\tl\tr\tb\td\tt\tdot.ted\n1\t3000000000\t1.5\ttrue\t2020-01-02\t2020-01-02 03:04:05\tx\n2\t1\t2\tFALSE\t2020-01-03\t2020-01-02\t\n",
+        "odd": 'a\ta\t\t"q u"\n1\t2\t3\t"x, y"\n\n  \t \n4\n5\t6\t7\t8\t9\n',
+        "head": "only\theader\n",
+        "many": "k\tv\n" + "".join(f"{i}\tv{i % 3}\n" for i in range(20_000)),
+    }
+    paths = {key: gzipped(tmp_path, key, text) for key, text in texts.items()}
+    paths["none"] = gzipped(tmp_path, "none", "")
+    frames = tables.staged_tables(spark, paths)
+    assert set(frames) == set(texts)
+    for key, df in frames.items():
+        plain = tables.read_table(spark, paths[key])
+        assert df.dtypes == plain.dtypes, key
+        assert Counter(map(str, df.collect())) == Counter(map(str, plain.collect())), key
+    assert frames["many"].rdd.getNumPartitions() > 1
+    assert tables.staged_tables(spark, {"none": paths["none"]}) == {}
+
+
 def test_catalogue_and_listing(spark, tmp_path):
     for name, size in {"b.tsv.gz": 30, "a.tsv.gz": 10, "c.tsv": 1, "z.tsv.gz": 10, "d.tsv.gz": 99}.items():
         (tmp_path / name).write_bytes(b"x" * size)
@@ -110,6 +191,26 @@ def test_manifest(spark, tmp_path):
     assert listing.read_manifest(spark, str(tmp_path / "m.txt"), first=1).count() == 1
 
 
+def test_a_manifest_of_a_million_names_is_many_tasks(spark, tmp_path):
+    n = 1_000_000
+    (tmp_path / "m.txt").write_text("[" + ", ".join(f"'d{i}.c.x.y'" for i in range(n)) + "]")
+    found = listing.read_manifest(spark, str(tmp_path / "m.txt"))
+    total = found.agg(F.count("*"), F.countDistinct("pos"), F.min("pos"), F.max("pos"), F.count_if(F.expr("dataset_id = concat('d', pos)"))).first()
+    assert tuple(total) == (n, n, 0, n - 1, n)
+    pieces = spark.read.option("lineSep", "'").text(str(tmp_path / "m.txt"))
+    assert pieces.rdd.getNumPartitions() > 1
+
+
+def test_numbers_follow_the_order(spark):
+    rng = random.Random(6)
+    rows = [(rng.randint(0, 50), f"p{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "length long, path string").repartition(7)
+    got = [(r.length, r.path) for r in numbered(df, "length", "path").orderBy("ordinal").collect()]
+    assert got == sorted(rows)
+    assert sorted(r.ordinal for r in numbered(df, F.desc("length")).collect()) == list(range(1, 3001))
+    assert numbered(df.where("false"), "path").collect() == []
+
+
 def test_json_sink_appends_and_drops_nulls(spark, tmp_path, sf):
     path = str(tmp_path / "p.json")
     nested = profile.profile(spark.sql("SELECT 'a' AS t, 1 AS n"), "one")

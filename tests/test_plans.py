@@ -11,8 +11,9 @@ from gaugewell.operators.cells import to_cells
 from gaugewell.operators.ranks import ranked_values
 from gaugewell.operators.sample import pilot_sample
 from gaugewell.operators.scalars import scalar_metrics
-from gaugewell.plans import profile, reports, semantic
+from gaugewell.plans import catalogue, profile, reports, semantic
 from gaugewell.sources import tables
+from gaugewell.sources.listing import read_manifest
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin")
 
@@ -35,8 +36,8 @@ def test_cells_read_only_their_columns(spark, sf, plan):
 
 
 def test_rankings_count_before_the_shuffle_and_cut_before_the_window(spark, sf, plan):
-    text = plan(ranked_values(to_cells(I.table(spark, sf, "lineitem"))))
-    assert text.count("+- Expand") + text.count("+- *Expand") == 2 and text.count("FileScan") == 1
+    text = plan(ranked_values(to_cells(I.table(spark, sf, "lineitem"))), run=True).split("Initial Plan")[0]
+    assert len(re.findall(r"\bExpand \[", text)) == 2 and text.count("FileScan") == 1
     assert "Generate" not in text and "partial_count" in text and text.count("WindowGroupLimit") == 2
     # The value shuffle is spread by value, not by column alone.
     assert re.search(r"Exchange hashpartitioning\(col_id#\d+, lane_0", text)
@@ -82,11 +83,53 @@ def test_borough_filter_reaches_the_scan(spark, tmp_path, plan):
     assert "PushedFilters: [In(Borough" in text and "other" not in text.split("ReadSchema")[1]
 
 
-def test_gated_detectors_run_on_their_columns_only(spark):
-    values = spark.createDataFrame(
-        [("a", "10001"), ("b", "10001"), ("a", None)], "column_name string, value string"
-    )
-    counts = semantic._counts(values, detectors(), "column_name", {"zip_code": ["a"]})
-    rows = {r.column_name: r for r in counts.collect()}
-    assert (rows["a"].zip_code, rows["b"].zip_code, rows["a"].phone_number) == (1, 0, 0)
-    assert rows["a"][semantic.NON_EMPTY] == 1
+def test_weighted_and_plain_counts_agree(spark):
+    rows = [("a", "10001", 2), ("b", "10001", 1), ("a", None, 3), ("b", "RED", 4)]
+    weighted = spark.createDataFrame(rows, "column_name string, value string, n long")
+    plain = spark.createDataFrame([r[:2] for r in rows for _ in range(r[2])], "column_name string, value string")
+    names = spark.createDataFrame([("Red",)], "name string")
+    found = detectors(neighbourhoods=names)
+    counts = [{r.column_name: r for r in semantic.detector_counts(v, found).collect()} for v in (weighted, plain)]
+    assert counts[0] == counts[1]
+    a, b = counts[0]["a"], counts[0]["b"]
+    assert (a.zip_code, b.zip_code, b.color, b.neighbourhood, a.neighbourhood) == (2, 1, 4, 4, 0)
+    assert (a[semantic.NON_EMPTY], b[semantic.NON_EMPTY]) == (2, 5)
+
+
+def exchanges(text):
+    return len(re.findall(r"\bExchange ", text))
+
+
+def test_many_datasets_take_the_shuffles_of_one(spark, sf, plan):
+    some = [I.table(spark, sf, name) for name in ("customer", "part", "orders")]
+    counts = []
+    for n in (3, 20):
+        text = plan(profile.dataset_profiles({f"d{i}": some[i % 3] for i in range(n)}))
+        counts.append(exchanges(text))
+        assert text.count("FileScan") % n == 0
+    assert counts[0] == counts[1] <= exchanges(plan(profile.profile(some[0]))) + 1
+
+
+def test_long_texts_do_not_cross_the_value_exchange(spark, plan):
+    docs = spark.range(50).selectExpr("repeat(concat('long text ', id % 7), 100) AS text")
+    text = plan(ranked_values(to_cells(docs), ("frequent",)), run=True).split("Initial Plan")[0]
+    # what is counted and shuffled is the lead, its length and a digest
+    assert re.search(r"Exchange hashpartitioning\(col_id#\d+, lane_0#\d+, chars#\d+, digest#\d+", text)
+    assert re.search(r"CASE WHEN \(length\(lane_0#\d+\) > 64\) THEN substring\(lane_0#\d+, 1, 64\)", text)
+    # whole texts are grouped only where they met a winner, and digests are no key of that join
+    (join,) = re.findall(r"BroadcastHashJoin \[(.*?)\], \[", text)
+    assert join.startswith("col_id") and "digest" not in join and "md5" not in join
+
+
+def test_short_columns_are_not_read_again(spark, sf, plan):
+    df = I.table(spark, sf, "lineitem")
+    final = plan(profile.column_metrics(df), run=True).split("Initial Plan")[0]
+    assert len(re.findall(r"FileScan", final)) == 2
+
+
+def test_numbers_need_no_single_task(spark, tmp_path, plan):
+    listing = spark.range(1000).selectExpr("concat('/d/', id, '.gz') AS path", "id % 10 AS length")
+    assert "Window" not in plan(catalogue.first_datasets(listing, 900))
+    (tmp_path / "m.txt").write_text("['a.b.c.d']")
+    text = plan(read_manifest(spark, str(tmp_path / "m.txt")))
+    assert "wholetext" not in text and "SinglePartition" not in text

@@ -83,7 +83,7 @@ def test_edges(spark):
     assert one["c.d"]["number_distinct_values"] == 0 and one["c.d"]["string_count"] == 0
     empty = spark.createDataFrame([], "a string, b int")
     nothing = by_column(profile.column_metrics(empty))
-    assert list(nothing) == ["a", "b"] and nothing["a"]["string_count"] == 0
+    assert sorted(nothing) == ["a", "b"] and nothing["a"]["string_count"] == 0
     for distinct in ("exact", "approx"):
         for m in by_column(profile.column_metrics(empty, distinct=distinct)).values():
             assert m["number_non_empty_cells"] == m["number_empty_cells"] == m["number_distinct_values"] == 0
@@ -167,6 +167,49 @@ def test_nested_profile(spark, sf):
     assert "date_count" not in text["columns"][0] and "max_value" not in text["columns"][1]["data_types"][0]
 
 
+def test_native_dates(spark):
+    df = spark.sql(
+        "SELECT DATE'2020-01-02' AS d, TIMESTAMP'2020-01-02 23:30:00' AS t, TIMESTAMP_NTZ'2019-05-06 01:00:00' AS z, '1/2/2021' AS s, 5 AS n "
+        "UNION ALL SELECT NULL, TIMESTAMP'2018-03-04 00:00:00', NULL, 'x', 6"
+    )
+    plain = by_column(profile.column_metrics(df))
+    assert [c for c, m in plain.items() if m["date_count"]] == ["s"]
+    found = by_column(profile.column_metrics(df, native_dates=True))
+    shown = {c: (m["date_count"], str(m["date_min_value"]), str(m["date_max_value"])) for c, m in found.items() if m["date_count"]}
+    assert shown == {
+        "d": (1, "2020-01-02", "2020-01-02"), "t": (2, "2018-03-04", "2020-01-02"),
+        "z": (1, "2019-05-06", "2019-05-06"), "s": (1, "2021-01-02", "2021-01-02"),
+    }
+    types = {c.column_name: [t.type for t in c.data_types] for c in profile.profile(df, native_dates=True).first().columns}
+    assert "DATE/TIME" in types["d"] and "DATE/TIME" not in types["n"]
+
+
+def test_long_values_rank_by_lead_length_and_digest(spark):
+    import hashlib
+    import random
+
+    rng = random.Random(8)
+    lead = "same lead " * 8
+    texts = [lead + "".join(rng.choice("ab") for _ in range(rng.randint(0, 6))) for _ in range(400)]
+    texts += [lead[:64], lead[:63], lead[:65]] * 2 + ["é" * 70, "x" * 300_000, "x" * 299_999 + "y", None, ""]
+    df = spark.createDataFrame([(t, None if t is None else len(t), [t]) for t in texts], "t string, n int, a array<string>").repartition(4)
+
+    def brute(values, key):
+        counts = Counter(v for v in values if v is not None)
+        md5 = {v: hashlib.md5(v.encode()).hexdigest() for v in counts}
+        order = sorted(counts, key=lambda v: (key(v, counts[v]), v[:64], len(v), md5[v]))
+        return [(i + 1, v, counts[v]) for i, v in enumerate(order[:5])]
+
+    keys = {"frequent": lambda v, n: -n, "shortest": lambda v, n: len(v), "longest": lambda v, n: -len(v)}
+    got = {}
+    for r in ranked_values(to_cells(df)).collect():
+        got.setdefault((r.col_id, r.ranking), []).append((r["rank"], r.value, r.n))
+    for ranking, key in keys.items():
+        assert sorted(got[0, ranking]) == brute(texts, key)
+    printed = [None if t is None else f"[{t}]" for t in texts]
+    assert sorted(got[2, "frequent"]) == brute([p or "[NULL]" for p in printed], keys["frequent"])
+
+
 def test_profiles_of_several_tables(spark, sf):
     tables = {"c": I.table(spark, sf, "customer"), "p": I.table(spark, sf, "part")}
     names = spark.createDataFrame([("c", "Customers"), ("c", "Buyers")], "id string, name string")

@@ -3,6 +3,8 @@
 import gzip
 import json
 
+import pytest
+
 from gaugewell.plans import runs
 from gaugewell.sources import listing
 
@@ -27,8 +29,48 @@ def test_profile_folder(spark, tmp_path):
     assert {k: v["dataset_name"] for k, v in got.items()} == {"aa-2": "Alpha", "cc-3": "Gamma"}
     key, text = got["cc-3"]["columns"]
     assert key["number_distinct_values"] == 4000 and text["frequent_values"] == ["v0", "v1", "v2"]
-    again = runs.profile_folder(spark, str(folder), 4, out, excluded=skipped, done=done)
+    again = runs.profile_folder(spark, str(folder), 4, out, excluded=skipped)
     assert again == ["dd-4"] and len(lines(spark, out)) == 3
+    assert runs.profile_folder(spark, str(folder), 4, out, excluded=skipped) == []
+
+
+def test_a_run_that_breaks_off_is_repeated_without_doubles(spark, tmp_path, monkeypatch):
+    folder, out = tmp_path / "data", str(tmp_path / "out")
+    folder.mkdir()
+    for name in ("aa", "bb", "cc"):
+        with gzip.open(folder / f"{name}.tsv.gz", "wt") as f:
+            f.write("k\n" + "1\n" * 9)
+    (folder / "datasets.tsv").write_text("aa\tAlpha\n")
+
+    def broken(*_):
+        raise RuntimeError("between writing and noting")
+
+    monkeypatch.setattr(runs, "note_finished", broken)
+    with pytest.raises(RuntimeError):
+        runs.profile_folder(spark, str(folder), 3, out, batch=2)
+    assert len(lines(spark, out)) == 2
+    monkeypatch.undo()
+    assert runs.profile_folder(spark, str(folder), 3, out, batch=2) == ["aa", "bb", "cc"]
+    assert sorted(row["dataset_id"] for row in lines(spark, out)) == ["aa", "bb", "cc"]
+
+
+def test_a_batch_takes_as_many_jobs_as_one_dataset(spark, tmp_path):
+    def jobs(folder, n, batch):
+        group = f"{folder.name}-{batch}"
+        spark.sparkContext.setJobGroup(group, group)
+        runs.profile_folder(spark, str(folder), n, str(folder / f"out{batch}"), batch=batch)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    counts = []
+    for n in (1, 6):
+        folder = tmp_path / f"of{n}"
+        folder.mkdir()
+        for i in range(n):
+            with gzip.open(folder / f"d{i}.tsv.gz", "wt") as f:
+                f.write("k\tv\n" + f"1\tx{i}\n" * 9)
+        (folder / "datasets.tsv").write_text("d0\tAlpha\n")
+        counts.append(jobs(folder, n, 20))
+    assert counts[1] <= counts[0] + 2
 
 
 def test_semantic_run(spark, tmp_path):
@@ -47,6 +89,8 @@ def test_semantic_run(spark, tmp_path):
     assert got["First_Name"] == [{"semantic_type": "person_name", "count": 2}]
     assert got["Empty"] == [{"semantic_type": "other", "label": "Empty", "count": 0}]
     assert {"semantic_type": "color", "count": 2} in got["Colour"] and "Late" not in got
+    runs.semantic_run(spark, str(folder), str(manifest), out, n=4)
+    assert len(lines(spark, out)) == 3
 
 
 def test_manifest_of_several_lines(spark, tmp_path):
