@@ -54,7 +54,7 @@ def _metrics(cells: Cells, distinct: str, int_type: str, k: int, rsd: float, nat
         # each value in this stream, so that it shares the shuffle of the rankings.
         merged = (
             merged.drop("number_non_empty_cells")
-            .join(distinct_counts(cells), "col_id", "left")
+            .join(distinct_counts(cells, k), "col_id", "left")
             .withColumnRenamed("counted_cells", "number_non_empty_cells")
         )
     merged = merged.join(ranked_lists(cells, RANKINGS, k), "col_id", "left").fillna(0, list(COUNTS))

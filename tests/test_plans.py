@@ -114,11 +114,11 @@ def test_long_texts_do_not_cross_the_value_exchange(spark, plan):
     docs = spark.range(50).selectExpr("repeat(concat('long text ', id % 7), 100) AS text")
     text = plan(ranked_values(to_cells(docs), ("frequent",)), run=True).split("Initial Plan")[0]
     # what is counted and shuffled is the lead, its length and a digest
-    assert re.search(r"Exchange hashpartitioning\(col_id#\d+, lane_0#\d+, chars#\d+, digest#\d+", text)
+    assert re.search(r"Exchange hashpartitioning\(col_id#\d+, lane_0#\d+, tail#\d+", text)
     assert re.search(r"CASE WHEN \(length\(lane_0#\d+\) > 64\) THEN substring\(lane_0#\d+, 1, 64\)", text)
     # whole texts are grouped only where they met a winner, and digests are no key of that join
     (join,) = re.findall(r"BroadcastHashJoin \[(.*?)\], \[", text)
-    assert join.startswith("col_id") and "digest" not in join and "md5" not in join
+    assert join.startswith("col_id") and "tail" not in join and "md5" not in join
 
 
 def test_short_columns_are_not_read_again(spark, sf, plan):
