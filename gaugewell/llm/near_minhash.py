@@ -129,13 +129,32 @@ def bags(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = WORD
     )
 
 
-def _bag(text: str | None, size: int) -> Counter:
-    from gaugewell.llm.licenses import _words
+Runs = tuple[np.ndarray, np.ndarray]
 
-    words = _words(text or "")
-    if len(words) < size:
-        return Counter([tuple(words)] if words else [])
-    return Counter(zip(*(words[j:] for j in range(size))))
+
+def _bags(texts: pa.Array, size: int) -> list[Runs]:
+    """The multiset of runs of each text: hashes in order, each once, and how often each is there."""
+    words = Words(texts)
+    rows, shingles = words.shingles(size)
+    order = np.lexsort((shingles, rows))
+    rows, shingles = rows[order], shingles[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (shingles[1:] != shingles[:-1])
+    first = np.flatnonzero(new)
+    counts, shingles = np.diff(np.append(first, len(rows))), shingles[first]
+    cuts = np.searchsorted(rows[first], np.arange(len(texts) + 1))
+    return [(shingles[a:b].copy(), counts[a:b].copy()) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def _alike(a: Runs, b: Runs, similarity: float) -> bool:
+    """Whether two multisets overlap by ``similarity`` or more."""
+    if not len(a[0]) or not len(b[0]):
+        return False
+    if len(b[0]) < len(a[0]):
+        a, b = b, a
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    both = int(np.where(b[0][at] == a[0], np.minimum(a[1], b[1][at]), 0).sum())
+    return both / (int(a[1].sum()) + int(b[1].sum()) - both) >= similarity
 
 
 def overlap(a: Counter, b: Counter) -> float:
@@ -194,8 +213,8 @@ def _compared(rows: DataFrame, node_kind: str, similarity: float, size: int) ->
         def links(group: list[tuple], key: tuple) -> list[tuple]:
             band, low, high = key
             groups, found = _Groups(), []
-            made = [(node, comp, block, bands, _bag(text, size)) for node, comp, block, bands, text in group]
-            total = [m[4].total() for m in made]
+            made = group
+            total = [int(m[4][1].sum()) for m in made]
             sets = [frozenset(m[3]) for m in made]
             for i, (node, comp, block, bands, bag) in enumerate(made):
                 for j in range(i + 1, len(made)):
@@ -208,20 +227,21 @@ def _compared(rows: DataFrame, node_kind: str, similarity: float, size: int) ->
                         continue
                     if len(sets[i] & sets[j]) > 1 and min(sets[i] & sets[j], key=bands.index) != band:
                         continue  # compared where they meet first
-                    if overlap(bag, other_bag) >= similarity:
+                    if _alike(bag, other_bag, similarity):
                         groups.join(comp, other_comp)
                         found.append((node, other))
             return found
 
         key, group, out = None, [], []
         for batch in (part for whole in batches for part in slices(whole, "text")):
-            names = ("band", "low", "high", "block", "node", "comp", "bands", "text")
-            for band, low, high, block, *row in zip(*(batch.column(n).to_pylist() for n in names)):
+            names = ("band", "low", "high", "block", "node", "comp", "bands")
+            found = _bags(batch.column("text"), size)
+            for band, low, high, block, *row in zip(*(batch.column(n).to_pylist() for n in names), found):
                 if (band, low, high) != key:
                     out += links(group, key) if group else []
                     key, group = (band, low, high), []
-                node, comp, bands, text = row
-                group.append((node, comp, block, bands, text))
+                node, comp, bands, bag = row
+                group.append((node, comp, block, bands, bag))
         out += links(group, key) if group else []
         a, b = zip(*out) if out else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -235,18 +255,18 @@ def _star_links(stars: DataFrame, texts: DataFrame, node_kind: str, similarity:
     sizes = stars.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
     nodes = stars.join(sizes, "lead").select("lead", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"), F.lit(1).alias("part"), "node")
     leads = sizes.select("lead", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("part"), F.col("lead").alias("node"))
-    rows = nodes.unionAll(leads).join(texts, "node")
+    rows = texts.join(nodes.unionAll(leads).hint("shuffle_hash"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, bags_of_lead, out = None, [], []
         for batch in (part for whole in batches for part in slices(whole, "text")):
-            for lead, salt, part, node, text in zip(*(batch.column(n).to_pylist() for n in ("lead", "salt", "part", "node", "text"))):
+            found = _bags(batch.column("text"), size)
+            for lead, salt, part, node, bag in zip(*(batch.column(n).to_pylist() for n in ("lead", "salt", "part", "node")), found):
                 if (lead, salt) != key:
                     key, bags_of_lead = (lead, salt), []
-                bag = _bag(text, size)
                 if part == 0:
                     bags_of_lead.append(bag)
-                elif any(overlap(b, bag) >= similarity for b in bags_of_lead):
+                elif any(_alike(b, bag, similarity) for b in bags_of_lead):
                     out.append((lead, node))
         a, b = zip(*out) if out else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -281,7 +301,8 @@ def near_duplicates(
     shared = in_band.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("n")).where("n > 1")
     met = stored(in_band.join(shared.select("band", "lead"), "band"), "bands")
     wanted = met.select("node").distinct()
-    text_of = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
+    # a shuffle at every size: what is wanted grows with the table
+    text_of = docs.select(F.col("doc_id").alias("node"), "text").join(wanted.hint("shuffle_hash"), "node", "left_semi")
     texts = stored(text_of, "band-texts")
     stars = met.where("node <> lead").select("lead", "node").distinct()
     links = stored(_star_links(stars, texts, kind, similarity, size), "star-links")
