@@ -22,7 +22,7 @@ where they are many.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 
 import numpy as np
@@ -84,17 +84,26 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
     return row, at, lo, hi, core, whole
 
 
-def suffixes(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
+#: What a task makes of a slice of texts: the bytes that strings are looked for in, and where each row's start.
+Coder = Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]
+
+
+def _plain(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return text_bytes(part.column("text"))
+
+
+def suffixes(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, coder: Coder = _plain, shortest: int | None = None) -> DataFrame:
     """The suffixes at anchors of all texts: doc_id, key (hash of id and text), at, back, fore, core, whole, batch.
 
     ``at`` is the anchor's byte, its strings start at ``at - back`` to ``at - back + fore``.
+    Texts of fewer than ``shortest`` bytes hold no string.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for part in slices(batch, "text"):
-                data, offsets = text_bytes(part.column("text"))
+                data, offsets = coder(part)
                 row, at, lo, hi, core, whole = anchor_runs(data, offsets, length)
                 taken = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
@@ -112,14 +121,13 @@ def suffixes(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> D
                 )
 
     keyed = _keyed(docs).withColumn("batch", F.pmod("key", F.lit(batches)).cast("int"))
-    return keyed.where(F.octet_length("text") >= length).mapInArrow(
+    return keyed.where(F.octet_length("text") >= (shortest or length)).mapInArrow(
         run, f"doc_id {kind}, key long, at long, back int, fore int, core long, whole long, batch int"
     )
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    key = F.col("key") if "key" in docs.columns else F.xxhash64("doc_id", "text")
-    return docs.select("doc_id", "text", key.alias("key"))
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
 
 
 def _of_row(keyed: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
@@ -179,7 +187,7 @@ class SuffixIndex:
         self.levels = {}
 
 
-def _string_hashes(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
+def _string_hashes(docs: DataFrame, runs: DataFrame, length: int, coder: Coder) -> DataFrame:
     """core, back (anchor's offset in a string), string (hash), and where: every string of the given runs."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     lists = runs.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "back", "fore", "core")).alias("runs"))
@@ -188,7 +196,7 @@ def _string_hashes(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                data, offsets = text_bytes(part.column("text"))
+                data, offsets = coder(part)
                 lists = part.column("runs")
                 flat = lists.flatten()
                 at, back, fore, core = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
@@ -223,19 +231,46 @@ def _string_hashes(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
 TOGETHER = 4096
 
 
-def _stretch_spans(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
+def _stretches(docs: DataFrame, runs: DataFrame, length: int, coder: Coder) -> DataFrame:
+    """doc_id, key, lo, back, core, stretch: the bytes of the strings of each given run."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    lists = runs.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "back", "fore", "core")).alias("runs"))
+    joined = _of_row(_keyed(docs), lists.hint("shuffle_hash")).select("doc_id", "key", "text", "runs")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                data, offsets = coder(part)
+                lists = part.column("runs")
+                flat = lists.flatten()
+                at, back, fore, core = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+                row = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+                lo = at - back
+                whole, starts = data.tobytes(), offsets[row] + lo
+                sizes = fore.astype(np.int64) + length
+                for s in range(0, len(row), 2000):
+                    e = s + 2000
+                    cut = [whole[a : a + n] for a, n in zip(starts[s:e].tolist(), sizes[s:e].tolist())]
+                    taken = pa.array(row[s:e])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("doc_id").take(taken), part.column("key").take(taken), pa.array(lo[s:e]),
+                            pa.array(back[s:e]), pa.array(core[s:e]), pa.array(cut, pa.binary()),
+                        ],
+                        ["doc_id", "key", "lo", "back", "core", "stretch"],
+                    )
+
+    return joined.mapInArrow(run, f"doc_id {kind}, key long, lo long, back int, core long, stretch binary")
+
+
+def _stretch_spans(docs: DataFrame, runs: DataFrame, length: int, coder: Coder) -> DataFrame:
     """doc_id, key, lo, hi: repeated strings of the given runs, compared fingerprint by fingerprint.
 
     The bytes of each run's strings go to the task of its fingerprint (core), which holds
     ``TOGETHER`` stretches at most, each shorter than two strings.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    lists = runs.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "back", "fore", "core")).alias("runs"))
-    joined = _of_row(_keyed(docs), lists.hint("shuffle_hash")).select("doc_id", "key", "text", F.explode("runs").alias("r"))
-    lo = F.col("r.at") - F.col("r.back")
-    text = F.col("text") if docs.schema["text"].dataType.typeName() == "binary" else F.encode("text", "UTF-8")
-    cut = F.substring(text, (lo + 1).cast("int"), F.col("r.fore") + length)
-    rows = joined.select("doc_id", "key", lo.alias("lo"), "r.back", "r.core", cut.alias("stretch"))
+    rows = _stretches(docs, runs, length, coder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(group: pa.Table) -> pa.RecordBatch:
@@ -278,9 +313,11 @@ def _stretch_spans(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, f"doc_id {kind}, key long, lo long, hi long")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, coder: Coder = _plain, shortest: int | None = None
+) -> DataFrame:
     """Where repeated strings start: doc_id, key, lo, hi (first and last start of a run of repeated strings)."""
-    all_runs = stored(suffixes(docs, length, batches), "suffixes")
+    all_runs = stored(suffixes(docs, length, batches, coder, shortest), "suffixes")
     index = SuffixIndex(docs.sparkSession)
     cores = None
     for i in range(batches):
@@ -301,10 +338,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     meeting = classes.join(lone.join(several, "core").select("core", "classes"), "core").select("one.*", "core", "classes")
     meeting = stored(meeting, "suffix-meetings")
     few = meeting.where(F.col("classes") <= TOGETHER).drop("classes")
-    single = _stretch_spans(docs, few, length)
+    single = _stretch_spans(docs, few, length, coder)
     many = meeting.where(F.col("classes") > TOGETHER).drop("classes")
     if many.limit(1).count():
-        strings = stored(_string_hashes(docs, many, length), "strings")
+        strings = stored(_string_hashes(docs, many, length, coder), "strings")
         same = strings.groupBy("core", "back", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
         hot = strings.join(same, ["core", "back", "string"], "left_semi")
         single = single.unionAll(hot.select("doc_id", "key", F.col("start").alias("lo"), F.col("start").alias("hi")))
@@ -403,20 +440,11 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def _coded(docs: DataFrame) -> DataFrame:
-    """doc_id, key (of the text), text: in its place the hashes of its words one after another, as bytes."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                data, offsets = text_bytes(part.column("text"))
-                starts, ends, first = words(data, offsets)
-                codes = RangeHash(data)(starts, ends).tobytes()
-                column = pa.array([codes[a * CODE : b * CODE] for a, b in zip(first[:-1].tolist(), first[1:].tolist())], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), column, part.column("key")], ["doc_id", "text", "key"])
-
-    return _keyed(docs).mapInArrow(run, f"doc_id {kind}, text binary, key long")
+def _word_codes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of each text's words one after another, as bytes."""
+    data, offsets = text_bytes(part.column("text"))
+    starts, ends, first = words(data, offsets)
+    return RangeHash(data)(starts, ends).view(np.uint8), first * CODE
 
 
 def drop_repeated_words(docs: DataFrame, n_words: int, batches: int = BATCHES) -> DataFrame:
@@ -430,7 +458,8 @@ def drop_repeated_words(docs: DataFrame, n_words: int, batches: int = BATCHES) -
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     length = n_words * CODE
-    spans = repeated_spans(_coded(docs), length, batches)
+    # a word has a byte at least
+    spans = repeated_spans(docs, length, batches, _word_codes, n_words)
     lists = spans.distinct().groupBy("doc_id", "key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     joined = _of_row(_keyed(docs), lists, "left").select("doc_id", "text", "spans")
 
