@@ -61,8 +61,8 @@ TEMPLATES = (
     ("spdx-tag", "spdx license identifier {{1}}", 0.8),
 )
 PHRASE_WEIGHT = 0.5
-#: An accepted text holds one of these words; rows without any are not run.
-ANCHORS = ("license", "licensed", "permission", "redistribution", "spdx", "released")
+#: Words that say nothing about which template a text may hold; one of them anchors a template only if it has no other.
+PLAIN_WORDS = frozenset("a all and any are as at be by copy for free from in is it not of on or that the this to use with you 0 1 2 3".split())
 
 
 def _word_hash(word: str) -> int:
@@ -91,8 +91,23 @@ class Automaton:
             else:
                 steps += [("word", _word_hash(w)) for w in _words(mark)]
         self.steps = steps
+        self.anchor = self._anchor(template)
         self.first = {self.steps[s][1] for s, _ in self._closed({(0, 0)}) if s < len(steps) and steps[s][0] == "word"}
 
+    @staticmethod
+    def _anchor(template: str) -> int | None:
+        """A word that every accepted text holds: the longest mandatory one that is not plain; None without any word."""
+        outside = re.sub(r"\{\{\d+\}\}", " ", template)
+        while "[[" in outside:
+            shorter = re.sub(r"\[\[(?:(?!\[\[|\]\]).)*\]\]", " ", outside, flags=re.S)
+            if shorter == outside:
+                break
+            outside = shorter
+        words = _words(outside)
+        if not words:
+            return None
+        return _word_hash(max(words, key=lambda w: (w not in PLAIN_WORDS, len(w), w)))
+
     def _closed(self, states: set[tuple[int, int]]) -> set[tuple[int, int]]:
         """States reached without reading: (step, words read in a gap)."""
         todo, seen = list(states), set()
@@ -146,7 +161,9 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coded = [([np.uint64(_word_hash(w)) for w in phrase.split()], label) for phrase, label in phrases]
         compiled = [(label, Automaton(text), weight) for label, text, weight in templates]
-        anchors = np.array([_word_hash(w) for w in ANCHORS], np.uint64)
+        # rows without a template's anchor cannot hold it; a template without any is run on all
+        anchors = np.array([a.anchor for _, a, _ in compiled if a.anchor is not None], np.uint64)
+        loose = any(a.anchor is None for _, a, _ in compiled)
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(part.column("text"))
@@ -170,9 +187,12 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES) -> DataFrame:
                 spans: list[list[dict]] = [[] for _ in range(n)]
                 labels = [set(b) for b in base]
                 score = np.where(n_base > 0, PHRASE_WEIGHT, 0.0)
-                for r in np.unique(rows[np.isin(h, anchors)]):
+                for r in np.unique(rows if loose else rows[np.isin(h, anchors)]):
                     own = h[words.first[r] : words.first[r + 1]].tolist()
+                    has = set(own)
                     for label, automaton, weight in compiled:
+                        if automaton.anchor is not None and automaton.anchor not in has:
+                            continue
                         at, hit = 0, False
                         while at < len(own):
                             end = automaton.match(own, at) if own[at] in automaton.first else None
