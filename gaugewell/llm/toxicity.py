@@ -199,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     )  # bounded by ``rows``: small enough to broadcast
     train = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["text"]).where("text is not null")
     words = train.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("word"))
-    train, words = train.cache(), words.where("length(word) between 3 and 40")
+    train, words = train.cache(), words.where("length(word) >= 3")
     tally = (F.sum("toxic").alias("bad"), F.count("*").alias("n"))
     total = train.agg(*tally).first()
     if not total["bad"] or total["bad"] == total["n"]:
@@ -220,13 +220,15 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         # bad of n draws by chance: n * (relative entropy) bounds the log of the p-value; all terms together below 1 in 100
         q = F.least(F.col("bad") / F.col("n"), F.lit(0.999999))
         surprise = F.col("n") * (q * F.log(q / base) + (1 - q) * F.log((1 - q) / (1 - base)))
-        chosen = frame.where((q >= 0.9) & (surprise > math.log(tests * 100))).select("word").orderBy("word").limit(5000)
-        return [r["word"] for r in chosen.collect()]
+        # what the fitted rows hold bounds this list
+        chosen = frame.where((q >= 0.9) & (surprise > math.log(tests * 100))).select("word")
+        return sorted(r["word"] for r in chosen.collect())
 
     exact = telling(per_word)
     stems = telling(per_stem)
-    stems = [s for s in stems if not any(s != t and s.startswith(t) for t in stems)]
-    exact = [w for w in exact if not any(w.startswith(s) for s in stems)]
+    known = set(stems)
+    stems = [s for s in stems if not any(s[:k] in known for k in STEMS if k < len(s))]
+    exact = [w for w in exact if not any(w[:k] in known for k in STEMS)]
     terms = sorted({*exact, *SEED})
     whole = Lexicon(terms, stems)
     common = per_word.where(f"n >= 2 and bad < {0.5} * n").select("word")
@@ -235,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([w for w in batch.column("word").to_pylist() if whole.look(w)], pa.string())], ["word"])
 
-    harmless = sorted(r["word"] for r in common.mapInArrow(accepted, "word string").limit(50_000).collect())
+    harmless = sorted(r["word"] for r in common.mapInArrow(accepted, "word string").collect())
     model = Model(terms, stems, harmless)
     seen = _run(train.select("doc_id", "text", "toxic"), model, fitted=False).collect()
     x, y = np.array([r["features"] for r in seen]), np.array([r["toxic"] for r in seen], float)
