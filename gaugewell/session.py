@@ -9,6 +9,11 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="gaugewell-")
+
+
 def local_session(cpus: str | int = "*", partitions: int = 8, app: str = "gaugewell") -> SparkSession:
     """Local session for tests and bench.  A cluster brings its own."""
     spark = (
@@ -25,14 +30,11 @@ def local_session(cpus: str | int = "*", partitions: int = 8, app: str = "gaugew
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", _local_base())
     return spark
 
 
-@cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="gaugewell-")
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
