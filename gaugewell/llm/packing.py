@@ -5,13 +5,15 @@ of their own; what is left of a document is an *item* shorter than a sequence.
 histogram of item lengths is the order list of a cutting-stock problem:
 
 * a linear program over patterns (multisets of lengths that fit a sequence) asks for the
-  fewest sequences; its columns are generated by a knapsack dynamic program that prices
-  lengths with the program's duals;
+  fewest sequences.  Its columns come from a knapsack dynamic program that prices lengths with
+  duals: first with length / size, at which patterns without an unused place are the best
+  there are and meet nearly all of a large demand; what they leave is solved by the simplex
+  method with its own duals;
 * solutions are rounded down, so whole patterns are used a whole number of times;
 * items are ranked within their length and dealt to the patterns' places by rank.
 
-Patterns that are full are kept.  What rounding leaves over is laid end to end and cut at
-sequence edges, the tail at powers of two, so nothing is padded and few documents are cut.
+What rounding leaves over fills the few unused places and is then laid end to end and cut
+at sequence edges, the tail at powers of two, so nothing is padded and few documents are cut.
 
 Only the histogram (one count per length) reaches the driver; ranks are counts per input
 part and length, summed by Spark.
@@ -19,6 +21,7 @@ part and length, summed by Spark.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,57 +34,62 @@ from pyspark.sql import functions as F
 from gaugewell.llm.common import slices, stored
 
 SEQUENCE = 2048
+#: Most places of a pattern that pieces of cut documents fill.
+SLACK = 64
 END_ID = 1
 
 
 # --- linear program ------------------------------------------------------------------------
 
 
-def _first_patterns(lengths: np.ndarray, demand: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """A feasible basis: patterns filled largest first, each used until one of its lengths is used up.
+def _fill(lengths: list[int], left: list[int], room: int, below: int) -> list[tuple[int, int]] | None:
+    """(index, copies) of lengths before ``below`` that add up to ``room``, at most ``left`` of each, longest first.
 
-    Returns patterns, how often each is used, and the length that each used up: no later
-    pattern holds it, so the basis is triangular.
+    A knapsack by dynamic programming over the sums that can be reached, held as the bits of
+    one number; copies are taken in powers of two.
     """
-    left = demand.astype(float).copy()
-    columns, times, used_up = [], [], []
-    alive = list(range(len(lengths)))  # ascending lengths
-    import bisect
-
-    while alive:
-        column = np.zeros(len(lengths))
-        room, at = size, len(alive) - 1
-        values = [lengths[i] for i in alive]
-        while at >= 0:
-            n = int(min(room // values[at], max(1, np.floor(left[alive[at]]))))
-            if n == 0:
-                at = bisect.bisect_right(values, room, 0, at) - 1
-                continue
-            column[alive[at]] = n
-            room -= n * values[at]
-            at = bisect.bisect_right(values, room, 0, at) - 1
-        used = np.flatnonzero(column)
-        ratio = left[used] / column[used]
-        out = used[np.argmin(ratio)]
-        x = ratio.min()
-        left[used] -= x * column[used]
-        left[out] = 0
-        columns.append(column)
-        times.append(x)
-        used_up.append(int(out))
-        alive.remove(out)
-    return np.array(columns).T, np.array(times), used_up
-
-
-def _inverse(columns: np.ndarray, used_up: list[int]) -> np.ndarray:
-    """Inverse of a triangular basis by forward substitution; a row has few entries."""
-    out = np.zeros(columns.shape)
-    for k, row in enumerate(used_up):
-        out[k, row] = 1.0
-        for j in np.flatnonzero(columns[row, :k]):
-            out[k] -= columns[row, j] * out[j]
-        out[k] /= columns[row, k]
-    return out
+    whole, reached, steps = 1 << room, 1, []
+    for i in range(min(below, bisect.bisect_right(lengths, room)) - 1, -1, -1):
+        if reached & whole:
+            break
+        copies, n = min(left[i], room // lengths[i]), 1
+        while copies > 0:
+            n = min(n, copies)
+            steps.append((i, n, reached))
+            reached |= (reached << n * lengths[i]) & (2 * whole - 1)
+            copies -= n
+            n *= 2
+    if not reached & whole:
+        return None
+    found: dict[int, int] = {}
+    for i, n, before in reversed(steps):
+        if not before >> room & 1:
+            found[i] = found.get(i, 0) + n
+            room -= n * lengths[i]
+    return list(found.items())
+
+
+def full_patterns(lengths: np.ndarray, demand: np.ndarray, size: int) -> tuple[list[tuple[list[tuple[int, int]], int]], np.ndarray]:
+    """Patterns without an unused place, each with how often it is used, and the demand they leave.
+
+    At the duals length / size, which no pattern exceeds, exactly these have a reduced cost of
+    0: as long as they meet the demand, primal and dual agree and the program is solved.
+    """
+    own, left, patterns = lengths.tolist(), demand.tolist(), []
+    for i in range(len(own) - 1, -1, -1):
+        while left[i]:
+            left[i] -= 1
+            rest = _fill(own, left, size - own[i], i + 1)
+            left[i] += 1
+            if rest is None:
+                break
+            column = dict(rest)
+            column[i] = column.get(i, 0) + 1
+            times = min(left[k] // n for k, n in column.items())
+            for k, n in column.items():
+                left[k] -= times * n
+            patterns.append((sorted(column.items(), reverse=True), times))
+    return patterns, np.array(left, np.int64)
 
 
 def _price(lengths: np.ndarray, duals: np.ndarray, size: int) -> tuple[float, np.ndarray]:
@@ -107,35 +115,39 @@ def _price(lengths: np.ndarray, duals: np.ndarray, size: int) -> tuple[float, np
     return float(best[size]), column
 
 
-def solve(lengths: np.ndarray, demand: np.ndarray, size: int, tolerance: float = 0.001, rounds: int = 60):
-    """Patterns (columns) and how often each is used, fractions allowed: within ``tolerance`` of the fewest
-    sequences, or after ``rounds`` columns as good as it is by then."""
-    columns, x, used_up = _first_patterns(lengths, demand, size)
+def solve(lengths: np.ndarray, demand: np.ndarray, size: int, tolerance: float = 1e-4, rounds: int = 2000):
+    """Patterns (columns), how often each is used, fractions allowed, and a proven bound from below.
+
+    Simplex on the patterns generated so far, from patterns of one length each; a new column
+    is priced until the use is within ``tolerance`` of the bound (the dual solution over the
+    value of its best pattern, or the tokens over the size).  ``rounds`` columns end it
+    too; the solution is feasible after each.
+    """
+    columns = np.diag((size // lengths).astype(float))
+    inverse = np.diag(1 / np.diag(columns))
+    x = demand / np.diag(columns)
     least = float((lengths * demand).sum()) / size
-    if x.sum() <= least * (1 + tolerance):
-        return columns, x
-    inverse = _inverse(columns, used_up)
-    for _ in range(rounds):
-        duals = inverse.sum(axis=0)
-        value, column = _price(lengths, np.maximum(duals, 0), size)
-        total = x.sum()
-        if value <= 1 + 1e-9 or total <= max(least, total / value) * (1 + tolerance):
+    for done in range(1, rounds + 1):
+        duals = np.maximum(inverse.sum(axis=0), 0)
+        value, column = _price(lengths, duals, size)
+        least = max(least, float(demand @ duals) / max(value, 1.0))
+        if value <= 1 + 1e-9 or x.sum() <= least * (1 + tolerance):
             break
         some = np.flatnonzero(column)
-        step = (inverse[:, some] * column[some]).sum(axis=1)
+        step = inverse[:, some] @ column[some]
         able = step > 1e-9
-        if not able.any():
-            break
         ratio = np.where(able, x / np.where(able, step, 1), np.inf)
-        out = int(np.argmin(ratio))
-        move = ratio[out]
+        out = int(np.argmax(np.where(ratio <= ratio.min() + 1e-9, step, 0)))  # of equal ones the safest pivot
+        pivot, move = inverse[out] / step[out], x[out] / step[out]
         x = np.maximum(x - move * step, 0)
         x[out] = move
-        pivot = inverse[out] / step[out]
         inverse -= np.outer(step, pivot)
         inverse[out] = pivot
         columns[:, out] = column
-    return columns, x
+        if done % 500 == 0:  # rounding errors do not add up
+            inverse = np.linalg.inv(columns)
+            x = np.maximum(inverse @ demand, 0)
+    return columns, x, least
 
 
 # --- plan ----------------------------------------------------------------------------------
@@ -152,17 +164,28 @@ class Plan:
     pool: dict[int, int]  # token position of a length's first rest
     pool_sequence: int
     pool_tokens: int
+    #: Unused places of patterns: pool position, sequence, offset and width of each run of equal ones, and all their tokens.
+    gaps: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+    gap_tokens: int
 
     def _cuts(self, position: int, length: int) -> list[tuple[int, int, int, int]]:
         """(start, length, sequence, offset) of a stretch of the pool."""
         out, start = [], 0
-        whole = self.pool_tokens // self.size
+        laid = self.pool_tokens - self.gap_tokens
+        whole = laid // self.size
         while start < length:
-            at = position + start
+            at = position + start - self.gap_tokens
+            if at < 0:  # in a gap
+                i = int(np.searchsorted(self.gaps[0], position + start, side="right")) - 1
+                nth, inside = divmod(position + start - int(self.gaps[0][i]), int(self.gaps[3][i]))
+                n = min(int(self.gaps[3][i]) - inside, length - start)
+                out.append((start, n, int(self.gaps[1][i]) + nth, int(self.gaps[2][i]) + inside))
+                start += n
+                continue
             if at // self.size < whole:
                 sequence, offset, room = at // self.size, at % self.size, self.size - at % self.size
             else:  # the tail, in sequences of powers of two
-                rest, sequence, offset = self.pool_tokens - whole * self.size, whole, at - whole * self.size
+                rest, sequence, offset = laid - whole * self.size, whole, at - whole * self.size
                 piece = 1 << (rest.bit_length() - 1)
                 while offset >= piece:
                     offset -= piece
@@ -186,39 +209,62 @@ class Plan:
         return self._cuts(self.pool[length] + (rank - self.dealt.get(length, 0)) * length, length)
 
 
-def plan_packing(counts: dict[int, int], size: int = SEQUENCE, slack: int = 0) -> Plan:
-    """A plan for items of the given lengths; patterns with more than ``slack`` places unused go to the pool."""
+def plan_packing(counts: dict[int, int], size: int = SEQUENCE, slack: int = SLACK) -> Plan:
+    """A plan for items of the given lengths; patterns with more than ``slack`` places unused go to the pool.
+
+    Unused places of the others are filled by the first tokens of the pool; patterns whose
+    places the pool is too small for go to it, those with most unused first.
+    """
     whole = counts.get(size, 0)
     items = {k: n for k, n in counts.items() if 0 < k < size and n > 0}
     lengths = np.array(sorted(items), np.int64)
     demand = np.array([items[k] for k in lengths], np.int64)
+    patterns, left = full_patterns(lengths, demand, size)
+    asked = np.flatnonzero(left)
+    gaps: list[tuple[int, list[tuple[int, int]], int]] = []
+    if len(asked):
+        columns, x, _ = solve(lengths[asked], left[asked], size)
+        for j in np.argsort(-x, kind="stable"):
+            column = [(int(asked[i]), int(columns[i, j])) for i in np.flatnonzero(columns[:, j])[::-1]]
+            times = min(int(np.floor(x[j] + 1e-6)), *(int(left[i]) // n for i, n in column))
+            gap = size - sum(int(lengths[i]) * n for i, n in column)
+            if times > 0 and gap <= slack:
+                gaps.append((gap, column, times))
+                for i, n in column:
+                    left[i] -= times * n
+    gaps.sort(key=lambda g: g[0])
+    free = sum(gap * times for gap, _, times in gaps)
+    tokens = int((lengths * left).sum())
+    while free > tokens:
+        gap, column, times = gaps.pop()
+        back = min(times, -(-(free - tokens) // size))
+        free -= gap * back
+        tokens += (size - gap) * back
+        for i, n in column:
+            left[i] += back * n
+        if times > back:
+            gaps.append((gap, column, times - back))
     found: dict[int, list[tuple[int, int, int]]] = {}
     dealt: dict[int, int] = {}
-    sequence = whole
-    if len(lengths):
-        columns, x = solve(lengths, demand, size)
-        left = demand.copy()
-        for j in np.argsort(-x, kind="stable"):
-            column = columns[:, j].astype(np.int64)
-            used = np.flatnonzero(column)
-            times = min(int(np.floor(x[j] + 1e-6)), *(left[used] // column[used]).tolist())
-            if times <= 0 or size - int((lengths * column).sum()) > slack:
-                continue
-            offset = 0
-            for i in used[::-1]:
-                k = int(lengths[i])
-                for _ in range(column[i]):
-                    found.setdefault(k, []).append((dealt.get(k, 0), sequence, offset))
-                    dealt[k] = dealt.get(k, 0) + times
-                    offset += k
-            left[used] -= times * column[used]
-            sequence += times
+    sequence, filled, at = whole, [], 0
+    for gap, column, times in [(0, *p) for p in patterns] + gaps:
+        offset = 0
+        for i, n in column:
+            k = int(lengths[i])
+            for _ in range(n):
+                found.setdefault(k, []).append((dealt.get(k, 0), sequence, offset))
+                dealt[k] = dealt.get(k, 0) + times
+                offset += k
+        if gap:
+            filled.append((at, sequence, offset, gap))
+            at += gap * times
+        sequence += times
     pool, position = {}, 0
     for k in lengths[::-1].tolist():
         pool[k] = position
         position += (items[k] - dealt.get(k, 0)) * k
     places = {k: tuple(np.array(v, np.int64).T) for k, v in found.items()}
-    return Plan(size, places, dealt, pool, sequence, position)
+    return Plan(size, places, dealt, pool, sequence, position, tuple(np.array(filled, np.int64).reshape(-1, 4).T), at)
 
 
 # --- tokens --------------------------------------------------------------------------------
@@ -309,7 +355,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE) -> Dat
     )
 
 
-def pack(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE, slack: int = 0) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE, slack: int = SLACK) -> DataFrame:
     """Pieces of all documents, packed: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
     ``ids`` are the piece's ids as unsigned little-endian 32-bit numbers.  A NULL or empty
