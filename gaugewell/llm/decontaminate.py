@@ -6,8 +6,9 @@ pieces (one automaton for all pieces) are the only places to look at.  Each plac
 verified by Myers' bit-parallel distance of the whole item against the text around it.
 Nothing is lost: the hits are a superset of all matches.
 
-Texts are compared in lower case with white space runs as one space.  Items are a given
-query set and go to the tasks in blocks of bounded size, one pass over the documents each.
+Texts are compared in lower case with white space runs as one space.  Items go to the tasks
+in blocks of bounded size, one pass over the documents each: driver and tasks hold one block
+at a time however long the benchmark is, and what a pass found is written before the next.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugewell.llm.common import slices
+from gaugewell.llm.common import dropped, slices, stored
 
 ERROR_RATE = 0.05
 BLOCK_CHARS = 4_000_000
@@ -134,7 +135,7 @@ def item_blocks(benchmark: DataFrame, most: int = BLOCK_CHARS) -> Iterator[list[
         yield block
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per document the items it holds: doc_id, hits array<struct<item_id, distance, end>>.
 
     One row per row of ``docs``; no hits is an empty array.  ``end`` counts characters of
@@ -160,9 +161,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) ->
         return run
 
     found = docs.select("doc_id", "text", F.expr(f"cast(array() as array<{hit}>)").alias("hits"))
-    blocks = list(item_blocks(benchmark))
-    for items in blocks:
-        names = ["doc_id", "text", "hits"] if items is not blocks[-1] else ["doc_id", "hits"]
-        ddl = {"doc_id": f"doc_id {id_kind}", "text": "text string", "hits": f"hits array<{hit}>"}
-        found = found.mapInArrow(looking(items, names), ", ".join(ddl[n] for n in names))
+    ddl = {"doc_id": f"doc_id {id_kind}", "text": "text string", "hits": f"hits array<{hit}>"}
+
+    def searched(given: DataFrame, items: list[tuple[int, str]], names: list[str]) -> DataFrame:
+        return given.mapInArrow(looking(items, names), ", ".join(ddl[n] for n in names))
+
+    blocks = item_blocks(benchmark, block_chars)
+    block, written = next(blocks, None), None
+    while block is not None:
+        after = next(blocks, None)
+        if after is None:
+            return searched(found, block, ["doc_id", "hits"])
+        found = stored(searched(found, block, ["doc_id", "text", "hits"]), "benchmark-hits")
+        if written is not None:
+            dropped(written)
+        block, written = after, found
     return found.select("doc_id", "hits")

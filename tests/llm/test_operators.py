@@ -194,6 +194,13 @@ def test_decontaminate(spark):
         near = [(k, distance(decontaminate.normal(t), decontaminate.normal(text))) for k, t in enumerate(items)]
         assert got[i] == [(k, d) for k, d in near if d <= decontaminate.budget(decontaminate.normal(items[k]))]
     assert decontaminate.matches(docs, bench.where("false")).where("size(hits) > 0").count() == 0
+    # blocks of one, two and a few items: the same hits, row by row, NULL and repeated ids too
+    odd = docs.unionAll(docs.where("doc_id > 2")).unionAll(docs.selectExpr("cast(null as long)", "text"))
+    whole = Counter(str(r) for r in decontaminate.matches(odd, bench).collect())
+    sizes = [len(b) for b in decontaminate.item_blocks(bench, 500)]
+    assert len(sizes) > 2 and sum(sizes) == len(items) and max(sizes) > 1
+    for chars in (1, 500):
+        assert Counter(str(r) for r in decontaminate.matches(odd, bench, block_chars=chars).collect()) == whole
 
 
 def test_quality(spark):
@@ -238,6 +245,33 @@ def test_toxicity_automaton():
     assert [h[2] for h in hits] == [True, False] and f[1] == 1.0 and f[2] == 1.0
 
 
+def test_toxicity_automaton_is_edit_distance():
+    rng = random.Random(9)
+    terms = ["grumko", "vexorn", "blatter", "scum", "oaf"]
+    lexicon = toxicity.Lexicon(terms, [])
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, d in enumerate(b, 1):
+                before, row[j] = row[j], min(before + (c != d), row[j] + 1, row[j - 1] + 1)
+        return row[-1]
+
+    levels = Counter()
+    for _ in range(4000):
+        word = list(rng.choice(terms))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(word) + 1)
+            word[at : at + rng.randint(0, 1)] = rng.choice(["", *"gruvexo"])
+        word = "".join(word)
+        found = lexicon.look(word)
+        levels[found] += 1
+        near = any(distance(word, t) <= toxicity.edits(t) for t in terms)
+        assert found == (1 if word in terms else 2 if near else 0), word
+    assert levels[0] and levels[1] and levels[2]
+
+
 def test_toxicity_fit(spark):
     rng = random.Random(8)
     rows = [(i, prose(rng, 40) + (f" grumk{rng.choice('aeiou')} vexorn" if i % 8 == 0 else "")) for i in range(400)] + [(900, None)]
