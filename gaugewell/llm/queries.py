@@ -63,7 +63,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = "</s>[INST] ok [/INST]"
     rows = [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)]
     formatted = chat.format_conversations(given.unionAll(spark.createDataFrame(rows, given.schema)), tokenizer_path())
-    return chat.read_back(formatted)
+    return chat.read_back(formatted).drop("n_tokens", "n_loss_tokens")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,6 +139,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+#: What the turns say; the escape puts a backslash after the opening of a control string.
+CHAT_FORMAT_SQL = r"""
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), turns AS (
+    SELECT *, regexp_replace(role, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS head,
+           regexp_replace(body, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS escaped
+    FROM given
+), said AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(role || chr(10) || body || chr(10), '' ORDER BY turn NULLS FIRST, role, body) AS said,
+           coalesce(string_agg(body, '' ORDER BY turn NULLS FIRST, role, body) FILTER (role = 'assistant'), '') AS loss,
+           sum(length('<|turn|>' || head || '<|text|>' || escaped || '<|end|>') + 1)::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM said
+"""
+
 #: Equal texts after white space is folded, by their text.
 EXACT_DEDUP_SQL = r"""
 WITH t AS (
@@ -178,4 +199,4 @@ QUALIFY "rank" <= 3
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_exact_dedup": EXACT_DEDUP_SQL, "op12_hard_negatives": HARD_NEGATIVES_SQL}
+    return {"op3_chat_format": CHAT_FORMAT_SQL, "op11_exact_dedup": EXACT_DEDUP_SQL, "op12_hard_negatives": HARD_NEGATIVES_SQL}
