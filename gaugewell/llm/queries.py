@@ -23,6 +23,7 @@ from gaugewell.llm import (
     toxicity,
 )
 from gaugewell.llm.common import table
+from gaugewell.llm.sql import oracle_sql  # noqa: F401
 
 TOXIC_FROM = 0.7
 
@@ -137,66 +138,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op12_hard_negatives, op13_spelling_groups, pipeline,
     )
     return {f.__name__: f for f in found}
-
-
-#: What the turns say; the escape puts a backslash after the opening of a control string.
-CHAT_FORMAT_SQL = r"""
-WITH given AS (
-    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
-    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
-    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
-), turns AS (
-    SELECT *, regexp_replace(role, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS head,
-           regexp_replace(body, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS escaped
-    FROM given
-), said AS (
-    SELECT conv_id, count(*) AS n_turns,
-           string_agg(role || chr(10) || body || chr(10), '' ORDER BY turn NULLS FIRST, role, body) AS said,
-           coalesce(string_agg(body, '' ORDER BY turn NULLS FIRST, role, body) FILTER (role = 'assistant'), '') AS loss,
-           sum(length('<|turn|>' || head || '<|text|>' || escaped || '<|end|>') + 1)::BIGINT AS formatted_chars
-    FROM turns GROUP BY conv_id
-)
-SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
-FROM said
-"""
-
-#: Equal texts after white space is folded, by their text.
-EXACT_DEDUP_SQL = r"""
-WITH t AS (
-    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
-)
-SELECT doc_id,
-       min(doc_id) OVER same AS keep_id,
-       count(*) OVER same AS group_size,
-       row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST) = 1 AS kept,
-       sha256(body) AS text_sha256
-FROM t WINDOW same AS (PARTITION BY body)
-"""
-
-#: Every anchor against every row.
-HARD_NEGATIVES_SQL = """
-WITH v AS (
-    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x, row_number() OVER () AS r
-    FROM embeddings
-    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), scored AS (
-    SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r AS other, b.vec_id, a.label = b.label AS same,
-           list_dot_product(a.x, b.x)::BIGINT AS score
-    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r
-), positive AS (
-    SELECT * FROM scored WHERE same
-    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
-)
-SELECT p.anchor_id, p.vec_id AS positive_id,
-       row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.vec_id)::INTEGER AS "rank",
-       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
-FROM positive p JOIN scored n
-  ON n.anchor = p.anchor AND NOT n.same AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
-QUALIFY "rank" <= 3
-"""
-
-
-def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": CHAT_FORMAT_SQL, "op11_exact_dedup": EXACT_DEDUP_SQL, "op12_hard_negatives": HARD_NEGATIVES_SQL}
