@@ -24,9 +24,8 @@ def _cast(text: Column, pattern: str, kind: str) -> Column:
     return F.when(text.rlike(pattern), text.try_cast(kind))
 
 
-def _fits(text: Column) -> dict[str, Column]:
-    """Whether a cell fits each type, narrow ones before the wider ones of their chain."""
-    whole = _cast(text, _WHOLE, "decimal(38,0)")
+def _fits(text: Column, whole: Column) -> dict[str, Column]:
+    """Whether a cell, and its reading as an integer, fits each type, narrow ones before the wider ones of their chain."""
     return {
         "int": whole.between(F.lit(-(2**31)), F.lit(2**31 - 1)),
         "bigint": whole.between(F.lit(-(2**63)), F.lit(2**63 - 1)),
@@ -43,8 +42,10 @@ def winners(cells: DataFrame, *keys: str) -> DataFrame:
 
     Text where none does, and where a group has no cells.
     """
-    fits = _fits(F.col("value"))
-    read = cells.select(*keys, *[F.when(F.col("value").isNotNull(), F.coalesce(test, F.lit(False))).alias(kind) for kind, test in fits.items()])
+    fits = _fits(F.col("value"), F.col("whole"))
+    # the integer is read once, in a projection of its own
+    whole = cells.select(*keys, "value", _cast(F.col("value"), _WHOLE, "decimal(38,0)").alias("whole"))
+    read = whole.select(*keys, *[F.when(F.col("value").isNotNull(), F.coalesce(test, F.lit(False))).alias(kind) for kind, test in fits.items()])
     folded = read.groupBy(*keys).agg(*[F.bool_and(f"`{kind}`").alias(kind) for kind in fits])
     first = F.coalesce(*[F.when(F.col(f"`{kind}`"), F.lit(kind)) for kind in fits], F.lit(WIDEST))
     return folded.select(*keys, first.alias("kind"))

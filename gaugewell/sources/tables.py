@@ -79,14 +79,31 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
 FILE_FOLDER = "file_name"
 
 
-def _column_file() -> Column:
-    """Name of the file a row comes from, or of its folder if Spark wrote it."""
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    name = F.regexp_extract(path, r"([^/]+)(?:/part-[^/]*)?$", 1)
+def _unescaped(name: Column) -> Column:
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def _with_file_name(df: DataFrame, **columns: Column) -> DataFrame:
+    """``file_name``, the file a row comes from or its folder if Spark wrote it, and ``columns`` of a read of files.
+
+    Computed for every row, so the last two segments of the path are cut off from the right: a
+    pattern that is not anchored tries every start of the path (50 microseconds a row).  Each
+    step is a projection, as what is used twice is computed twice inside a conditional.
+    """
+    path, kept = F.col("_metadata.file_path"), list(columns)
+    cut = df.select(F.substring_index(path, "/", -2).alias("_end_"), *[c.alias(n) for n, c in columns.items()])
+    cut = cut.select(F.substring_index("_end_", "/", 1).alias("_folder_"), F.substring_index("_end_", "/", -1).alias("_last_"), *kept)
+    written = F.startswith("_last_", F.lit("part-")) & (F.col("_folder_") != "")
+    named = cut.select(F.when(written, F.col("_folder_")).otherwise(F.col("_last_")).alias("_name_"), *kept)
     lead = f"{FILE_FOLDER}="
-    # names of folders are escaped once more
-    own = F.url_decode(F.replace(F.substr(name, F.lit(len(lead) + 1)), F.lit("+"), F.lit("%2B")))
-    return F.when(F.startswith(name, F.lit(lead)), own).otherwise(name).alias("file_name")
+    name = F.col("_name_")
+    # names of folders are escaped once more; no escape of a path stands for a letter of the lead
+    own = F.startswith(name, F.lit(lead))
+    plain = F.when(own, F.substr(name, F.lit(len(lead) + 1))).otherwise(name)
+    escaped = F.when(own, F.substr(_unescaped(_unescaped(name)), F.lit(len(lead) + 1))).otherwise(_unescaped(name))
+    found = F.when(F.contains(name, F.lit("%")), escaped).otherwise(plain)
+    # never NULL, and said so: joins would test it for NULL at the scan, by computing it once more
+    return named.select(F.coalesce(found, F.lit("")).alias("file_name"), *kept)
 
 
 def encoded(cell: Column) -> Column:
@@ -123,13 +140,14 @@ def read_column_files(
     """
     if escaped:
         lines = spark.read.option("lineSep", "\n").text(paths)
-        cells = lines.select(_column_file(), decoded(F.col("value")).alias("value"))
+        cells = _with_file_name(lines, value=decoded(F.col("value")))
     else:
         cell = F.from_csv("value", "cell string", {"sep": TAB})["cell"]
-        cells = spark.read.text(paths).select(_column_file(), F.when(F.col("value") != "", cell).alias("value"))
+        cells = _with_file_name(spark.read.text(paths), value=F.when(F.col("value") != "", cell))
     if not infer:
         return cells
-    kinds = inference.winners(cells, "file_name")
+    # one row per file, where a shuffle by file would put each of them into one task
+    kinds = F.broadcast(inference.winners(cells, "file_name"))
     typed = cells.join(kinds, "file_name")
     return typed.select("file_name", inference.printed(F.col("value"), F.col("kind")).alias("value"))
 
@@ -168,8 +186,8 @@ def _staged_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """
     lines = spark.read.text(paths)
     # a line's place: blocks of a file in order, rows as they are read
-    placed = lines.select(
-        _column_file(), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("line")
+    placed = _with_file_name(
+        lines, block=F.col("_metadata.file_block_start"), row=F.monotonically_increasing_id(), line=F.col("value")
     )
     cores = spark.sparkContext.defaultParallelism
     if _scan_tasks(lines) < cores:

@@ -126,6 +126,32 @@ KINDS = {
 }
 
 
+def test_names_of_column_files_are_cut_from_the_path_once(spark, tmp_path, plan):
+    names = ["d1.plain.1.2", "d1.a+b c.1.2", "d1.50%25.1.2", "file_name=d1.own.1.2"]
+    for name in names:
+        (tmp_path / name).write_text("007\n1\n")
+    folders = ["d1.x/y.1.2", "d1.50% +.1.2", "part-of.it.1.2"]
+    written = spark.createDataFrame([(n, "1") for n in folders], "file_name string, value string")
+    sinks.write_column_files(written, f"{tmp_path}/written")
+    one = tmp_path / "alone" / "d1.folder.1.2"
+    one.mkdir(parents=True)
+    (one / "part-00000").write_text("x\n")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reads = [[str(tmp_path / n) for n in names], f"{tmp_path}/written", str(one)]
+        cells = [tables.read_column_files(spark, paths, infer=True) for paths in reads]
+        found = {(r["file_name"], r["value"]) for c in cells for r in c.collect()}
+        text = plan(cells[0])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    plain = {(n.removeprefix("file_name="), v) for n in names for v in ("7", "1")}
+    of_folders = {(n, "1") for n in folders} | {("d1.folder.1.2", "x")}
+    assert found == plain | of_folders
+    # no pattern is tried along the path, no cell is shuffled by its file, and no name computed twice
+    assert "regexp_extract" not in text and "SortMergeJoin" not in text and "isnotnull(CASE" not in text
+
+
 def test_inference_is_that_of_the_reader_in_one_scan(spark, tmp_path, plan):
     for name, cells in KINDS.items():
         (tmp_path / f"d.{name}.a.b").write_text("\n".join(c or "" for c in cells) + "\n")
