@@ -215,7 +215,7 @@ def _staged_tables(spark: SparkSession, sf: str) -> DataFrame:
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{base}/{name}.tsv.gz"
-        writer = df.coalesce(1).write.option("sep", sources.TAB).option("header", True).option("compression", "gzip")
+        writer = df.write.option("sep", sources.TAB).option("header", True).option("compression", "gzip")
         writer.csv(paths[name])
     return flat_profile(profile.dataset_metrics(sources.staged_tables(spark, paths)))
 

@@ -174,7 +174,7 @@ def staged(df: DataFrame, path: str | None = None) -> DataFrame:
 
 # --- many tables at once -------------------------------------------------------------------
 
-LINES = "file_name string, block long, row long, line string"
+LINES = "file_name string, part string, block long, row long, line string"
 
 
 def _staged_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -185,9 +185,10 @@ def _staged_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     split like any parquet, whatever the file was.
     """
     lines = spark.read.text(paths)
-    # a line's place: blocks of a file in order, rows as they are read
+    # a line's place: blocks of a file in order, rows as they are read; no two lines have one row
+    part = F.substring_index(F.col("_metadata.file_path"), "/", -1)
     placed = _with_file_name(
-        lines, block=F.col("_metadata.file_block_start"), row=F.monotonically_increasing_id(), line=F.col("value")
+        lines, part=part, block=F.col("_metadata.file_block_start"), row=F.monotonically_increasing_id(), line=F.col("value")
     )
     cores = spark.sparkContext.defaultParallelism
     if _scan_tasks(lines) < cores:
@@ -207,36 +208,34 @@ def _header(line: str) -> list[str]:
 def staged_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     """Tables with a header row as typed frames, all staged and typed together.
 
-    ``paths``: a file by the key of its frame; file names must differ.  Lines are read
-    and written once; one job finds the headers, one types all columns of all files (as
-    the narrowest type that all cells of a column fit).  What goes through the driver is the
-    header lines and types.  A file without a line has no frame.
+    ``paths``: a file by the key of its frame, or a folder of parts that each have the header, as
+    Spark writes them; file names must differ.  Lines are read and written once; one job finds
+    the headers, one types all columns of all files (as the narrowest type that all cells of a
+    column fit).  What goes through the driver is the header lines of the parts and the types.
+    A file without a line has no frame.
     """
     files = {path.rstrip("/").rsplit("/", 1)[-1]: key for key, path in paths.items()}
     if len(files) != len(paths):
         raise ValueError("file names must differ")
     lines = _staged_lines(spark, list(paths.values()))
-    # the first line of a file is in its first block
-    firsts = lines.where("block = 0").groupBy("file_name").agg(F.min("row").alias("row"))
-    heads = {
-        r["file_name"]: (r["row"], _header(r["line"]))
-        for r in lines.where("block = 0").join(firsts, ["file_name", "row"]).select("file_name", "row", "line").collect()
-    }
-    if not heads:
+    # the first line of a part is in its first block; one row per part is broadcast, so that no line is shuffled
+    firsts = lines.where("block = 0").groupBy("file_name", "part").agg(F.min("row").alias("row"))
+    first = lines.where("block = 0").join(F.broadcast(firsts), ["file_name", "part", "row"])
+    headings = sorted(first.select("file_name", "part", "row", "line").collect())
+    if not headings:
         return {}
-    name, first = F.col("file_name"), (F.col("block") == 0)
-    heading = F.lit(False)
-    for file_name, (row, _) in heads.items():
-        heading = heading | ((name == file_name) & first & (F.col("row") == row))
+    # the header of a table is that of its first part, as it is to Spark's reader
+    heads = {r["file_name"]: _header(r["line"]) for r in reversed(headings)}
+    name, heading = F.col("file_name"), F.col("row").isin([r["row"] for r in headings])
     # lines of blanks alone are no rows
     body = lines.where(~heading & F.col("line").rlike(r"[^\x00-\x20]"))
-    width = max(len(names) for _, names in heads.values())
+    width = max(len(names) for names in heads.values())
     cells = [f"c{i}" for i in range(width)]
     parsed = body.select("file_name", F.from_csv("line", ", ".join(f"{c} string" for c in cells), {"sep": TAB}).alias("r"))
     long = parsed.select("file_name", F.posexplode(F.array(*[F.col(f"r.{c}") for c in cells])).alias("place", "value"))
     kinds = {(r["file_name"], r["place"]): r["kind"] for r in inference.winners(long, "file_name", "place").collect()}
     frames = {}
-    for file_name, (_, names) in heads.items():
+    for file_name, names in heads.items():
         ddl = ", ".join(f"c{i} {kinds.get((file_name, i), inference.WIDEST)}" for i in range(len(names)))
         row = F.from_csv("line", ddl, {"sep": TAB}).alias("r")
         frames[files[file_name]] = body.where(name == file_name).select(row).select("r.*").toDF(*names)

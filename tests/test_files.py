@@ -193,6 +193,22 @@ def test_staged_tables_are_those_of_the_reader(spark, tmp_path):
     assert tables.staged_tables(spark, {"none": paths["none"]}) == {}
 
 
+def test_staged_tables_of_many_parts_have_a_header_in_each(spark, tmp_path):
+    rows = spark.range(0, 900, 1, 3).selectExpr("id", "concat('v', id % 7) AS name", "id / 4 AS share")
+    empty = rows.where("id < 0")
+    paths = {key: f"{tmp_path}/{key}.tsv.gz" for key in ("parts", "empty")}
+    for key, df in {"parts": rows, "empty": empty}.items():
+        df.write.option("sep", "\t").option("header", True).option("compression", "gzip").csv(paths[key])
+    paths["single"] = gzipped(tmp_path, "single", "id\tname\n1\tx\n")
+    frames = tables.staged_tables(spark, paths)
+    assert set(frames) == set(paths)
+    for key, df in frames.items():
+        plain = tables.read_table(spark, paths[key])
+        assert df.dtypes == plain.dtypes, key
+        assert Counter(map(str, df.collect())) == Counter(map(str, plain.collect())), key
+    assert frames["parts"].count() == 900
+
+
 def test_catalogue_and_listing(spark, tmp_path):
     for name, size in {"b.tsv.gz": 30, "a.tsv.gz": 10, "c.tsv": 1, "z.tsv.gz": 10, "d.tsv.gz": 99}.items():
         (tmp_path / name).write_bytes(b"x" * size)
