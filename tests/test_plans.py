@@ -57,6 +57,12 @@ def test_a_spread_source_is_read_once(spark, sf, plan, monkeypatch):
     assert final.count("FileScan") == 1
 
 
+def test_file_names_are_not_matched_by_a_pattern(spark, sf, plan):
+    for key in ("src_column_files", "src_column_files_inferred", "sw_profile_files"):
+        text = plan(registry.queries()[key](spark, sf))
+        assert "FileScan text" in text and "regexp_extract" not in text, key
+
+
 def test_semantic_profile_is_one_scan_with_partial_counts(spark, sf, plan):
     values = I.table(spark, sf, "pages").select(F.lit("url").alias("column_name"), F.col("url").alias("value"))
     text = plan(semantic.semantic_profile(values))
