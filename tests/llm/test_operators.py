@@ -124,6 +124,48 @@ def test_suffix_dedup_without_ids(spark, monkeypatch):
         assert Counter((r.doc_id, bytes(r.kept)) for r in suffix_dedup.drop_repeats(docs, length).collect()) == want
 
 
+def test_suffix_dedup_moves_texts_once(spark, monkeypatch):
+    """Both ways of comparing strings read what one join with the texts cut out, however many fingerprints go each way."""
+    length, rng = 100, random.Random(12)
+    shared, rare = prose(rng, 60), prose(rng, 60)
+    # every text holds a part of the one passage; the first two of the other as well, whose fingerprints have two classes
+    texts = [prose(rng, 30) + shared[i : i + 150] + prose(rng, 30) + (rare[i : i + 150] if i < 2 else "") for i in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).persist()
+    seen = spark.sparkContext.accumulator(0)
+
+    def coder(part):
+        seen.add(part.num_rows)
+        return suffix_dedup.text_bytes(part.column("text"))
+
+    found = []
+    for together in (4096, 2, 1):
+        monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
+        before = seen.value
+        spans = suffix_dedup.repeated_spans(docs, length, coder=coder).collect()
+        assert len(texts) < seen.value - before <= 2 * len(texts)
+        found.append({(r.doc_id, at) for r in spans for at in range(r.lo, r.hi + 1)})
+    assert found[0] and found[0] == found[1] == found[2]
+
+
+def test_suffix_dedup_splits_hot_fingerprints(spark, monkeypatch):
+    """The join that keeps the suffixes of known fingerprints has no aggregate that keeps a hot one in one task."""
+    plans = []
+
+    def kept(df, label, stored=suffix_dedup.stored):
+        if label == "suffixes-known":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(suffix_dedup, "stored", kept)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        suffix_dedup.repeated_spans(spark.createDataFrame([(i, "x" * 300) for i in range(4)], "doc_id long, text string"), 100)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(plans) == 1 and "LeftSemi" in plans[0] and "Aggregate" not in plans[0]
+
+
 def test_near_minhash(spark, docs):
     rows = near_minhash.near_duplicates(docs).collect()
     assert len(rows) == len(odd_docs())
